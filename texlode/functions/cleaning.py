@@ -50,10 +50,6 @@ def document_body(text: Column | str) -> Column:
     return body_of(strip_comments(text))
 
 
-def remove_inline_math(text: Column | str) -> Column:
-    return sub_if(col(text), "$", P.INLINE_RUN)
-
-
 def park_dollars(text: Column | str) -> Column:
     """Escaped dollars give way to one reserved character.
 
@@ -73,6 +69,11 @@ def unpark_dollars(text: Column | str) -> Column:
     return swap(col(text), P.PARKED_DOLLAR, "\\$")
 
 
+def remove_inline_math(text: Column | str) -> Column:
+    """Text without inline math; an escaped dollar is no delimiter."""
+    return unpark_dollars(sub_if(park_dollars(text), "$", P.INLINE_RUN))
+
+
 def separate_inline(parked: Column | str) -> Column:
     """Puts a blank between adjacent ``$a$$b$`` and around each ``$$..$$``."""
 

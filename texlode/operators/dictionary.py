@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 
 from texlode.functions import cleaning, equations
 from texlode.functions import patterns as P
-from texlode.functions.columns import find_all, let
+from texlode.functions.columns import find_all
 from texlode.operators.extract import (
     DOCUMENT_KEY,
-    classified_equations,
     display_array,
-    inline_array,
     inline_equations,
     text_array,
-    with_body,
     with_clean_body,
 )
-from texlode.plans.physical import compute_once, dense_ids, durable, explode_rows, lookup
+from texlode.plans.physical import dense_ids, explode_rows, lookup
 
 # Opening letters of the three kinds of equation id.
 SINGLE_PREFIX = "EQDS"
@@ -67,12 +64,9 @@ def _stored(df: DataFrame):
     return equations.as_equation(F.coalesce(df["std"], df["eq_key"]))
 
 
-def equation_dictionary(docs: DataFrame) -> DataFrame:
+def equation_dictionary(classified: DataFrame) -> DataFrame:
     """``(eqid, eq_key, eq_text, n_occurrences)``, numbered by first occurrence."""
-    return number_pieces(distinct_pieces(keyed_pieces(classified_equations(docs))))
-
-
-def number_pieces(distinct: DataFrame) -> DataFrame:
+    distinct = distinct_pieces(keyed_pieces(classified))
     numbered = dense_ids(distinct, ["file", "eq_no", "sub_no", "eq_key"], "eq_number")
     return numbered.select(
         _eqid(SINGLE_PREFIX, "eq_number").alias("eqid"),
@@ -83,11 +77,10 @@ def number_pieces(distinct: DataFrame) -> DataFrame:
     )
 
 
-def multiline_dictionary(docs: DataFrame, eq_dict: DataFrame) -> DataFrame:
+def multiline_dictionary(classified: DataFrame, eq_dict: DataFrame) -> DataFrame:
     """``(eqid, sub_ids, eq_text)``: distinct multi-line equations, ids of their lines in order."""
     distinct = (
-        classified_equations(docs)
-        .filter(F.col("is_multiline"))
+        classified.filter(F.col("is_multiline"))
         .groupBy(F.col("text").alias("eq_text"))
         .agg(F.min(F.struct("file", "eq_no", "flat_eq")).alias("first"))
         .select("eq_text", "first.*")
@@ -108,11 +101,10 @@ def multiline_dictionary(docs: DataFrame, eq_dict: DataFrame) -> DataFrame:
     )
 
 
-def inline_dictionary(docs: DataFrame) -> DataFrame:
+def inline_dictionary(inline: DataFrame) -> DataFrame:
     """``(eqid, eq_text)``: distinct inline equations, numbered by first occurrence."""
     distinct = (
-        inline_equations(docs)
-        .groupBy(F.col("text").alias("eq_text"))
+        inline.groupBy(F.col("text").alias("eq_text"))
         .agg(
             F.min(F.struct("file", "eq_no")).alias("first"),
             F.count(F.lit(1)).alias("n_occurrences"),
@@ -125,12 +117,12 @@ def inline_dictionary(docs: DataFrame) -> DataFrame:
     )
 
 
-def extend_dictionary(docs: DataFrame, prior: DataFrame) -> DataFrame:
-    """Adds the equations of ``docs`` to an earlier dictionary, whose ids stay as they are.
+def extend_dictionary(classified: DataFrame, prior: DataFrame) -> DataFrame:
+    """Adds new equations to an earlier dictionary, whose ids stay as they are.
 
     Only keys the earlier dictionary lacks are numbered, from its highest number on.
     """
-    fresh = distinct_pieces(keyed_pieces(classified_equations(docs))).join(
+    fresh = distinct_pieces(keyed_pieces(classified)).join(
         prior.select("eq_key"), "eq_key", "left_anti"
     )
     numbered = dense_ids(fresh, ["file", "eq_no", "sub_no", "eq_key"], "place")
@@ -165,16 +157,16 @@ def assign_ids(classified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -
     return by_text.withColumn("eqid", F.coalesce("eqid", "meqid")).drop("eq_text", "meqid")
 
 
-def enumerated_documents(docs: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -> DataFrame:
+def enumerated_documents(
+    docs: DataFrame, classified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame
+) -> DataFrame:
     """Documents with each display equation replaced by its id.
 
     Only equation keys travel to the dictionary; the document text is shuffled
     once, by file, to take its ids.
     """
     known = (
-        assign_ids(
-            classified_equations(docs).select("file", "eq_no", "text", "flat_eq"), eq_dict, meq_dict
-        )
+        assign_ids(classified.select("file", "eq_no", "text", "flat_eq"), eq_dict, meq_dict)
         .filter(F.col("eqid").isNotNull())
         .groupBy("file")
         .agg(F.map_from_entries(F.collect_list(F.struct("eq_no", "eqid"))).alias("ids"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -72,6 +73,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Writes the rows as a Parquet table below the checkpoint folder and reads it back.
+
+    For frames that several later steps use: each step reads only its columns,
+    and nothing upstream runs again when executors are lost.
+    """
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{folder.rstrip('/')}/texlode-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Numbers rows ``0, 1, 2, ...`` in the total order of ``order``.
 

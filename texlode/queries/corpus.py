@@ -84,16 +84,16 @@ def _prose(d: Dialect) -> str:
 def _tex_prose(d: Dialect) -> str:
     text = _prose(d)
     for letter, tex, _ in _SENTENCES:
-        text = d.rewrite(text, f"([a-z]+){letter}\\. ", tex)
+        text = d.rewrite(text, f" ([a-z]+){letter}\\. ", " " + tex)
     for letter, tex in _CLAUSES:
-        text = d.rewrite(text, f"([a-z]+){letter}, ", tex)
+        text = d.rewrite(text, f" ([a-z]+){letter}, ", " " + tex)
     return text
 
 
 def _xhtml_prose(d: Dialect) -> str:
     text = _prose(d)
     for letter, _, xhtml in _SENTENCES:
-        text = d.rewrite(text, f"([a-z]+){letter}\\. ", xhtml)
+        text = d.rewrite(text, f" ([a-z]+){letter}\\. ", " " + xhtml)
     return text
 
 
@@ -121,6 +121,7 @@ def tex_text(d: Dialect) -> str:
         "doc_id % 6 = 0",
         "\\begin{comment}\n\\begin{equation} hidden \\end{equation}\n\\end{comment}\n",
     )
+    stray = d.when("doc_id % 17 = 3", "{\\bf open\n", "") + " || " + d.when("doc_id % 17 = 5", "} closed\n", "")
     long_sum = f"CASE WHEN doc_id % 41 = 0 THEN repeat({d.lit('+ k')}, 600) ELSE '' END"
     closing = [
         d.lit("\n\\begin{equation}\\label{eq:a} x_{"), seven, d.lit("} = {"), eleven, d.lit("}"),
@@ -133,7 +134,7 @@ def tex_text(d: Dialect) -> str:
     # Some documents are prose only.
     prose = f"CASE WHEN doc_id % 29 = 1 THEN {_prose(d)} ELSE {_tex_prose(d)} END"
     tail = f"CASE WHEN doc_id % 29 = 1 THEN {d.lit(chr(10) + chr(92) + 'end{document}' + chr(10))} ELSE {d.cat(*closing)} END"
-    return d.cat(*preamble, hidden, prose, tail)
+    return d.cat(*preamble, hidden, stray, prose, tail)
 
 
 def tex_sql(d: Dialect) -> str:
@@ -148,7 +149,7 @@ def xhtml_text(d: Dialect) -> str:
         d.when("doc_id % 5 = 0", "<table><math>x again</math></table>"),
     ]
     prose = f"CASE WHEN doc_id % 29 = 1 THEN {_prose(d)} ELSE {d.cat(_xhtml_prose(d), *last)} END"
-    link = '<html><link href="../../css/LaTeXML.css"/><link href="x/ltx-article.css"/><p>'
+    link = '<html><link href="../../css/LaTeXML.css"/>\n<link href="x/ltx-article.css"/><p>'
     return d.cat(d.lit(link), prose, d.lit("</p></html>"))
 
 
@@ -239,7 +240,7 @@ MACRO_PREAMBLE = (
 def submission_prose(d: Dialect) -> str:
     text = _prose(d)
     for letter, tex in _SUBMISSION_SENTENCES:
-        text = d.rewrite(text, f"([a-z]+){letter}\\. ", tex)
+        text = d.rewrite(text, f" ([a-z]+){letter}\\. ", " " + tex)
     return text
 
 

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texlode.functions import cleaning, equations, formats
+from texlode.functions import cleaning, equations, formats, macros
 from texlode.operators import dictionary as D
 from texlode.operators import extract as X
+from texlode.operators import macros as M
 from texlode.operators import pairing as P
 from texlode.operators import profile as R
 from texlode.operators import significance as S
+from texlode.operators import submissions as U
+from texlode.plans.physical import materialize
 from texlode.queries.tables import Corpus, plain_types
 from texlode.sources import readers, writers
 
@@ -106,8 +109,7 @@ def doc_body(c):
 @query("remove_inline")
 def remove_inline(c):
     return c.tex.select(
-        "file",
-        cleaning.unpark_dollars(cleaning.remove_inline_math(cleaning.park_dollars("text"))).alias("text"),
+        "file", cleaning.remove_inline_math("text").alias("text"),
     )
 
 
@@ -225,12 +227,22 @@ def sub_equations(c):
 
 @query("eq_dict")
 def eq_dict(c):
-    return D.equation_dictionary(c.tex).select("eqid", "eq_key", "eq_text", "n_occurrences")
+    return D.equation_dictionary(X.classified_equations(c.tex)).select(
+        "eqid", "eq_key", "eq_text", "n_occurrences"
+    )
+
 
+def _dictionaries(c: Corpus, classified: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both dictionaries from one extraction, which is written once and read twice."""
+    if classified is None:
+        classified = materialize(X.classified_equations(c.tex))
+    eqs = D.equation_dictionary(classified)
+    return eqs, D.multiline_dictionary(classified, eqs)
 
-def _dictionaries(c: Corpus) -> tuple[DataFrame, DataFrame]:
-    eqs = D.equation_dictionary(c.tex)
-    return eqs, D.multiline_dictionary(c.tex, eqs)
+
+def _in_english(c: Corpus) -> DataFrame:
+    name = F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))
+    return c.documents.filter("lang = 'en'").select(name.alias("doc_name"))
 
 
 @query("meq_dict")
@@ -241,45 +253,52 @@ def meq_dict(c):
 
 @query("inline_dict")
 def inline_dict(c):
-    return D.inline_dictionary(c.tex).select("eqid", "eq_text", "n_occurrences")
+    return D.inline_dictionary(X.inline_equations(c.tex)).select("eqid", "eq_text", "n_occurrences")
 
 
 @query("resume_ids")
 def resume_ids(c):
     """Dictionary of the English documents, extended by the whole corpus."""
-    english = c.documents.filter("lang = 'en'").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("doc_name"))
-    prior = D.equation_dictionary(c.tex.join(english, "doc_name", "left_semi").select("dir", "file", "doc_name", "text"))
-    return D.extend_dictionary(c.tex, prior).select("eqid", "eq_key", "is_new")
+    c.store("tex")
+    classified = materialize(X.classified_equations(c.tex))
+    prior = D.equation_dictionary(classified.join(_in_english(c), "doc_name", "left_semi"))
+    return D.extend_dictionary(classified, prior).select("eqid", "eq_key", "is_new")
 
 
 @query("enumerated_docs")
 def enumerated_docs(c):
-    return D.enumerated_documents(c.tex, *_dictionaries(c)).select("file", "text", "n_replaced")
+    c.store("tex")
+    classified = materialize(X.classified_equations(c.tex))
+    return D.enumerated_documents(c.store("tex"), classified, *_dictionaries(c, classified)).select(
+        "file", "text", "n_replaced"
+    )
 
 
 @query("unmatched_equations")
 def unmatched_equations(c):
-    """Equations of the corpus that the dictionary of the English documents lacks."""
-    english = c.documents.filter("lang = 'en'").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("doc_name"))
-    some = c.tex.join(english, "doc_name", "left_semi").select("dir", "file", "doc_name", "text")
-    eqs = D.equation_dictionary(some)
-    found = D.unmatched_equations(X.classified_equations(c.tex), eqs, D.multiline_dictionary(some, eqs))
+    """Equations of the corpus that the dictionaries of the English documents lack."""
+    c.store("tex")
+    classified = materialize(X.classified_equations(c.tex))
+    english = classified.join(_in_english(c), "doc_name", "left_semi")
+    found = D.unmatched_equations(classified, *_dictionaries(c, english))
     return found.select("file", "eq_no", "reason", "text")
 
 
 @query("enumerated_inline_docs")
 def enumerated_inline_docs(c):
-    return D.enumerated_inline_documents(c.tex, D.inline_dictionary(c.tex)).select("file", "text", "n_replaced")
+    c.store("tex")
+    return D.enumerated_inline_documents(c.tex, D.inline_dictionary(X.inline_equations(c.tex))).select("file", "text", "n_replaced")
 
 
 @query("dict_totals")
 def dict_totals(c):
-    return D.dictionary_totals(*_dictionaries(c), D.inline_dictionary(c.tex))
+    c.store("tex")
+    return D.dictionary_totals(*_dictionaries(c), D.inline_dictionary(X.inline_equations(c.tex)))
 
 
 @query("eqid_subset")
 def eqid_subset(c):
-    return R.listed_equations(D.equation_dictionary(c.tex), c.eqid_list).select("eqid", "eq_text")
+    return R.listed_equations(D.equation_dictionary(X.classified_equations(c.tex)), c.eqid_list).select("eqid", "eq_text")
 
 
 @query("write_eq_tsv")
@@ -343,26 +362,30 @@ def read_eq_json(c):
 
 def _identified(c: Corpus):
     eqs, meqs = _dictionaries(c)
-    return P.attach_ids(_objects(c), eqs, meqs), eqs, meqs
+    return materialize(P.attach_ids(_objects(c), eqs, meqs)), eqs, meqs
 
 
 @query("eq_docs")
 def eq_docs(c):
+    c.store("tex")
     return P.document_counts(_identified(c)[0])
 
 
 @query("eq_mathml")
 def eq_mathml(c):
+    c.store("tex")
     return P.first_mathml(_identified(c)[0])
 
 
 @query("eq_doc_tsv")
 def eq_doc_tsv(c):
+    c.store("tex")
     return writers.equation_document_lines(P.equation_documents(*_identified(c)))
 
 
 @query("coverage")
 def coverage(c):
+    c.store("tex")
     return P.coverage(c.xhtml, readers.parse_log_lines(c.log_lines), X.math_documents(c.tex))
 
 
@@ -408,6 +431,7 @@ def mse_bibcode(c):
 
 @query("mse_status")
 def mse_status(c):
+    c.store("tex")
     codes = readers.parse_bibcode_lines(c.bibcode_lines)
     return S.significance_status(c.tex, codes).select("file", "status")
 
@@ -470,12 +494,14 @@ def _rejects(c: Corpus) -> DataFrame:
 
 @query("rejects_summary")
 def rejects_summary(c):
+    c.store("tex")
     return R.reject_summary(_rejects(c))
 
 
 @query("quarantine_docs")
 def quarantine_docs(c):
     """Equation-only form of each document that failed to pair."""
+    c.store("tex")
     failed = P.pairing_rejects(P.paired_documents(c.tex, c.xhtml)).filter(F.col("reason") == P.MESSAGE_COUNTS)
     return X.sanitized_text(R.quarantined(c.tex, failed)).select("file", "text")
 
@@ -484,3 +510,104 @@ def quarantine_docs(c):
 def pending_docs(c):
     done = c.xhtml.select(F.concat("dir", F.lit("/"), "doc_name", F.lit(".tex")).alias("file"))
     return R.pending(c.tex, done).select("file", "doc_name")
+
+
+# --- Submissions and macros ------------------------------------------------
+
+
+def _wrapped(text: str):
+    """TeX text with braces put around some of its math delimiters."""
+    out = F.replace(F.col(text), F.lit("\\begin{math}"), F.lit("{ {\\begin{math}} }"))
+    out = F.replace(out, F.lit("\\["), F.lit("{\\[ }"))
+    return F.replace(out, F.lit("$$ "), F.lit("{{$$}} "))
+
+
+@query("unwrap_groups")
+def unwrap_groups(c):
+    wrapped = c.tex.select("file", _wrapped("text").alias("wrapped"))
+    return wrapped.select(
+        "file", F.length("wrapped").alias("n_wrapped"), macros.unwrap_delimiters("wrapped").alias("text")
+    )
+
+
+@query("unbalanced_docs")
+def unbalanced_docs(c):
+    found = c.tex.select(
+        "file",
+        macros.unmatched_openings("text", "{", "}").alias("open_braces"),
+        macros.unmatched_openings("text", "[", "]").alias("open_brackets"),
+    )
+    return found.filter("open_braces > 0 OR open_brackets > 0")
+
+
+@query("brace_groups")
+def brace_groups(c):
+    return U.brace_groups(c.tex).select(
+        "file", "open_pos", F.coalesce("close_pos", F.lit(-1)).alias("close_pos"), "depth"
+    )
+
+
+@query("main_files")
+def main_files(c):
+    return U.main_files(c.submissions)
+
+
+@query("input_edges")
+def input_edges(c):
+    return U.input_edges(U.main_texts(c.submissions))
+
+
+@query("missing_inputs")
+def missing_inputs(c):
+    return U.missing_inputs(c.store("submissions"))
+
+
+@query("expand_inputs")
+def expand_inputs(c):
+    return U.expanded_inputs(c.store("submissions"))
+
+
+def _expanded(c: Corpus) -> DataFrame:
+    """Main texts with inputs, stored because each macro step reads them."""
+    if "inputs" not in c.stored:
+        c.stored["inputs"] = materialize(U.expanded_inputs(c.store("submissions")))
+    return c.stored["inputs"]
+
+
+@query("macro_kind_counts")
+def macro_kind_counts(c):
+    return M.kind_counts(_expanded(c))
+
+
+@query("macro_defs")
+def macro_defs(c):
+    return M.macro_table(_expanded(c))
+
+
+@query("math_operators")
+def math_operators(c):
+    return M.math_operators(M.macro_table(_expanded(c)))
+
+
+@query("macro_usage")
+def macro_usage(c):
+    docs = _expanded(c)
+    return M.macro_usage(docs, M.macro_table(docs))
+
+
+@query("macro_deps")
+def macro_deps(c):
+    return M.dependency_closure(M.dependencies(M.macro_table(_expanded(c))))
+
+
+@query("expand_macros")
+def expand_macros(c):
+    return M.expand_documents(_expanded(c)).select("folder", "status", "text")
+
+
+@query("macro_outcomes")
+def macro_outcomes(c):
+    files = c.store("submissions")
+    unfound = U.without_main_file(files, U.main_files(files))
+    ends = M.outcomes(M.expand_documents(_expanded(c)), unfound)
+    return ends.groupBy("status").agg(F.count(F.lit(1)).alias("n"))

@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from texlode.plans.physical import spread
+from texlode.plans.physical import materialize, spread
 from texlode.queries import corpus
 
 
 class Corpus:
     """Frames derived from the tables of one folder; nothing is read until a frame is used."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, stored: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.folder = folder
+        self.stored = dict(stored or {})
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -30,17 +31,27 @@ class Corpus:
             sql = sql.replace(f"FROM {name}", f"FROM {view}").replace(f"JOIN {name}", f"JOIN {view}")
         return self.spark.sql(sql)
 
+    def store(self, name: str) -> DataFrame:
+        """Writes a derived corpus once, for queries that read it more than once."""
+        if name not in self.stored:
+            self.stored[name] = materialize(getattr(self, name))
+        return self.stored[name]
+
     @property
     def documents(self) -> DataFrame:
         return spread(self.table("documents"), "doc_id")
 
     @property
     def tex(self) -> DataFrame:
-        return self._derive(corpus.tex_sql(corpus.SPARK))
+        if "tex" in self.stored:
+            return self.stored["tex"]
+        return _text_once(self._derive(corpus.tex_sql(corpus.SPARK)), "text")
 
     @property
     def xhtml(self) -> DataFrame:
-        return self._derive(corpus.xhtml_sql(corpus.SPARK))
+        if "xhtml" in self.stored:
+            return self.stored["xhtml"]
+        return _text_once(self._derive(corpus.xhtml_sql(corpus.SPARK)), "xhtml")
 
     @property
     def log_lines(self) -> DataFrame:
@@ -68,7 +79,15 @@ class Corpus:
 
     @property
     def submissions(self) -> DataFrame:
-        return self._derive(corpus.submissions_sql(corpus.SPARK))
+        if "submissions" in self.stored:
+            return self.stored["submissions"]
+        return _text_once(self._derive(corpus.submissions_sql(corpus.SPARK)), "text")
+
+
+def _text_once(df: DataFrame, column: str) -> DataFrame:
+    """A derived text stands like a stored one: later filters do not derive it again."""
+    others = [name for name in df.columns if name != column]
+    return df.select(*others, F.explode_outer(F.array(column)).alias(column))
 
 
 def plain_types(df: DataFrame) -> DataFrame:
