@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,10 @@ from texlode.operators import pairing as P
 from texlode.operators import profile as R
 from texlode.operators import significance as S
 from texlode.operators import submissions as U
-from texlode.plans.physical import materialize
+from texlode.plans.physical import ensure_checkpoint_dir, materialize
 from texlode.queries.tables import Corpus, plain_types
 from texlode.sources import readers, writers
+from texlode.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -518,7 +520,7 @@ def pending_docs(c):
 def _wrapped(text: str):
     """TeX text with braces put around some of its math delimiters."""
     out = F.replace(F.col(text), F.lit("\\begin{math}"), F.lit("{ {\\begin{math}} }"))
-    out = F.replace(out, F.lit("\\["), F.lit("{\\[ }"))
+    out = F.replace(out, F.lit("\\[ "), F.lit("{\\[ } "))
     return F.replace(out, F.lit("$$ "), F.lit("{{$$}} "))
 
 
@@ -611,3 +613,29 @@ def macro_outcomes(c):
     unfound = U.without_main_file(files, U.main_files(files))
     ends = M.outcomes(M.expand_documents(_expanded(c)), unfound)
     return ends.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- Streams ---------------------------------------------------------------
+
+
+def _stream(c: Corpus) -> tuple[DataFrame, str]:
+    """The corpus as a stream of Parquet files, and a folder for what it leaves."""
+    folder = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/texlode-{uuid.uuid4().hex}"
+    c.tex.write.parquet(f"{folder}/documents")
+    return incremental.stream_documents(c.spark, f"{folder}/documents", files_per_batch=4), folder
+
+
+@query("stream_packages")
+def stream_packages(c):
+    docs, folder = _stream(c)
+    counts = incremental.running_packages(docs)
+    incremental.stream_counts(counts, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return incremental.latest_counts(c.spark, f"{folder}/out")
+
+
+@query("stream_eq_keys")
+def stream_eq_keys(c):
+    """Keys of the dictionary that grew batch by batch; its ids depend on the arrival order."""
+    docs, folder = _stream(c)
+    incremental.stream_dictionary(docs, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return incremental.read_dictionary(c.spark, f"{folder}/out").select("eq_key")

@@ -564,3 +564,213 @@ oracle(
     "SELECT file, text FROM sanitized WHERE file IN (SELECT file FROM paired WHERE reason LIKE 'LaTeX%')",
 )
 oracle("pending_docs", [TEX, XHTML], "SELECT file, doc_name FROM tex WHERE doc_name NOT IN (SELECT doc_name FROM xhtml)")
+
+# --- Prose, JSON ------------------------------------------------------------
+
+
+def _stripped(x: str) -> str:
+    steps = (
+        (r"\\begin\{title\}([^\n]+?)\\end\{title\}", r"\1"),
+        (r"(?s)\\begin\{picture\}.+?\\end\{picture\}", ""),
+        (r"\\def[^\n]+", ""),
+        (r"\\section\*?\{([^\n]+?)\}", r"\1"),
+        (
+            r"\\def[^\n]+|\\@ifundefined[^\n]+|\\begin\{thebibliography\}(?s:.+?)\\end\{thebibliography\}"
+            r"|\\begin\{eqnarray\*?\}(?s:.+?)\\end\{eqnarray\*?\}"
+            r"|\\[0-9A-Za-zÀ-ÿ_@]+(?:\[[^\n]+?\])?(?:\{[^\n]+?\})*|\[[^\n]+?\](?:\{[^\n]+?\})?|\{cm\}",
+            "",
+        ),
+        (r"[{}]", ""), (r"\(\)", ""), (r"\\", ""), (r"\n{3,}", ""), (r"^\s+|\s+$", ""),
+    )
+    for pattern, new in steps:
+        x = f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
+    return x
+
+
+oracle(
+    "strip_latex",
+    _BASE + [cte("bare_text",
+                 "SELECT file, len(eqs) AS n_display, list_reduce(list_prepend(text, eqs), "
+                 "lambda a, e: replace(a, e, '')) AS t FROM arrays")],
+    f"SELECT file, {_stripped('t')} AS text, n_display FROM bare_text",
+)
+oracle(
+    "equations_json", _PAIRED + [OBJECTS],
+    "SELECT file, CAST(to_json(list({'text': text, 'type': type, 'itemtype': itemtype, 'prevtext': prevtext, "
+    "'nexttext': nexttext, 'file': file, 'index': index, 'pos': pos, 'mathml': mathml} ORDER BY eq_no)) AS VARCHAR) AS json "
+    "FROM objects GROUP BY file",
+)
+
+# --- Submissions and macros -------------------------------------------------
+
+oracle(
+    "unwrap_groups", [TEX],
+    r"SELECT file, length(replace(replace(replace(text, '\begin{math}', '{ {\begin{math}} }'), '\[ ', '{\[ } '), '$$ ', '{{$$}} ')) "
+    "AS n_wrapped, text FROM tex",
+)
+
+
+def _open(marks: str, opening: str) -> str:
+    """Openings left open: the last running sum above the lowest one."""
+    return (
+        f"SELECT file, arg_max(s, n) - least(0, min(s)) AS left_open FROM (SELECT file, n, "
+        f"sum(CASE WHEN m = '{opening}' THEN 1 ELSE -1 END) OVER (PARTITION BY file ORDER BY n) AS s FROM "
+        f"(SELECT file, unnest(found) AS m, generate_subscripts(found, 1) AS n FROM "
+        f"(SELECT file, regexp_extract_all(text, '{marks}') AS found FROM tex))) GROUP BY file"
+    )
+
+
+oracle(
+    "unbalanced_docs",
+    [TEX, cte("braces", _open(r"[{}]", "{")), cte("brackets", _open(r"[\[\]]", "["))],
+    "SELECT * FROM (SELECT t.file, CAST(coalesce(a.left_open, 0) AS BIGINT) AS open_braces, "
+    "CAST(coalesce(b.left_open, 0) AS BIGINT) AS open_brackets FROM tex t LEFT JOIN braces a USING (file) "
+    "LEFT JOIN brackets b USING (file)) WHERE open_braces > 0 OR open_brackets > 0",
+)
+oracle(
+    "brace_groups",
+    [
+        TEX,
+        cte("signs",
+            r"SELECT file, string_split(regexp_replace(text, '(?s)\\[\\{}]', '  ', 'g'), '') AS cs FROM tex"),
+        cte("marks",
+            "SELECT * FROM (SELECT file, unnest(cs) AS ch, generate_subscripts(cs, 1) - 1 AS pos FROM signs) WHERE ch IN ('{', '}')"),
+        cte("sums",
+            "SELECT *, CAST(sum(CASE WHEN ch = '{' THEN 1 ELSE -1 END) OVER (PARTITION BY file ORDER BY pos) AS BIGINT) AS s FROM marks"),
+        cte("levels", "SELECT *, CASE WHEN ch = '{' THEN s ELSE s + 1 END AS depth FROM sums"),
+        cte("closed",
+            "SELECT *, min(CASE WHEN ch = '}' THEN pos END) OVER (PARTITION BY file, depth ORDER BY pos "
+            "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS close_pos FROM levels"),
+    ],
+    "SELECT file, pos AS open_pos, coalesce(close_pos, -1) AS close_pos, depth FROM closed WHERE ch = '{'",
+)
+
+SUBMISSIONS = cte("files", C.submissions_sql(D)) + ", " + cte(
+    "mains",
+    rf"SELECT folder, CAST(substr(folder, 2) AS BIGINT) AS d, {uncommented('text || chr(10)')} AS plain FROM files "
+    r"WHERE rel_path = 'main.tex' AND contains(text, '\end{document}')",
+)
+INPUTS = cte(
+    "inputs",
+    "SELECT m.folder, m.d, " + uncommented(
+        r"replace(replace(replace(m.plain, '\input{part}', p.text), '\input sec', chr(10) || s.text), '\input{lost}', '')"
+    ) + " AS text FROM mains m JOIN files p ON p.folder = m.folder AND p.rel_path = 'part.tex' "
+    "JOIN files s ON s.folder = m.folder AND s.rel_path = 'sec.tex'",
+)
+_DEFINED = (
+    (r"\foo", "CASE WHEN d % 10 = 4 THEN 'renewcommand' ELSE 'newcommand' END", "", 1, "", "",
+     "CASE WHEN d % 10 = 4 THEN '{g(#1)}' ELSE '{f(#1)}' END", "true"),
+    (r"\two", "'newcommand'", "*", 2, "", "", r"'{\foo{#2}-#1}'", "true"),
+    (r"\opt", "'newcommand'", "", 2, "[k]", "", "'{#1+#2}'", "true"),
+    (r"\bar", "'def'", "", 0, "", "", r"'{\foo{b}}'", "true"),
+    (r"\pair", "'def'", "", 2, "", "(#1,#2)", "'{<#1|#2>}'", "true"),
+    (r"\half", "'renewcommand'", "", 0, "", "", r"'{\frac{1}{2}}'", "true"),
+    (r"\rank", "'DeclareMathOperator'", "", 0, "", "", r"'\operatorname{rank}'", "true"),
+    (r"\argmax", "'DeclareMathOperator'", "*", 0, "", "", r"'\operatorname*{arg\,max}'", "true"),
+    (r"\barred", "'newcommand'", "", 0, "", "", r"'{\bar\half}'", "true"),
+    (r"\ping", "'def'", "", 0, "", "", r"'{\pong}'", "d % 31 = 2"),
+    (r"\pong", "'def'", "", 0, "", "", r"'{\ping}'", "d % 31 = 2"),
+    (r"\selfy", "'def'", "", 0, "", "", "''", "d % 37 = 3"),
+    (r"\me", "'newcommand'", "", 0, "", "", "'{b  c}'", "d % 37 = 3"),
+)
+MACROS = cte(
+    "macros",
+    " UNION ALL ".join(
+        f"SELECT folder, d, {kind} AS kind, '{star}' AS star, '{name}' AS name, CAST({n} AS BIGINT) AS n_args, "
+        f"'{default}' AS default_arg, '{params}' AS params, {body_} AS body FROM mains WHERE {condition}"
+        for name, kind, star, n, default, params, body_, condition in _DEFINED
+    ),
+)
+oracle(
+    "main_files", [SUBMISSIONS], "SELECT folder, 'main.tex' AS rel_path FROM mains",
+)
+_EDGES = cte(
+    "edges",
+    "SELECT folder, 0 AS n, 'part.tex' AS target FROM mains UNION ALL SELECT folder, 1, 'sec.tex' FROM mains "
+    "UNION ALL SELECT folder, 2, 'lost.tex' FROM mains WHERE d % 9 = 4",
+)
+oracle("input_edges", [SUBMISSIONS, _EDGES], "SELECT folder, CAST(n AS BIGINT) AS n, target FROM edges")
+oracle(
+    "missing_inputs", [SUBMISSIONS, _EDGES],
+    "SELECT folder, target, CAST(n AS BIGINT) AS n FROM edges WHERE (folder, target) NOT IN (SELECT (folder, rel_path) FROM files)",
+)
+oracle("expand_inputs", [SUBMISSIONS, INPUTS], "SELECT folder, 'main.tex' AS rel_path, text FROM inputs")
+oracle(
+    "macro_kind_counts", [SUBMISSIONS, MACROS],
+    "SELECT kind, star, CAST(sum(n) AS BIGINT) AS n FROM (SELECT kind, star, count(*) AS n FROM macros GROUP BY kind, star "
+    "UNION ALL SELECT 'newcommand', '', count(*) FROM macros WHERE name = '\\foo' AND kind = 'renewcommand') GROUP BY kind, star",
+)
+oracle(
+    "macro_defs", [SUBMISSIONS, MACROS],
+    "SELECT folder, kind, star, name, n_args, default_arg, params, body FROM macros",
+)
+oracle(
+    "math_operators", [SUBMISSIONS, MACROS],
+    "SELECT folder, name, body AS expansion FROM macros WHERE kind = 'DeclareMathOperator'",
+)
+oracle(
+    "macro_usage",
+    [
+        SUBMISSIONS, INPUTS, MACROS,
+        cte("tokens",
+            "SELECT folder, unnest(regexp_extract_all(substr(text, strpos(text, '\\begin{document}')), "
+            r"'(?s)\\(?:[A-Za-z@*]+|.)')) AS name FROM inputs"),
+    ],
+    "SELECT t.folder, t.name, count(*) AS n_uses FROM tokens t JOIN macros m ON m.folder = t.folder AND m.name = t.name "
+    "GROUP BY t.folder, t.name",
+)
+oracle(
+    "macro_deps",
+    [
+        SUBMISSIONS, MACROS,
+        cte("edges",
+            "SELECT a.folder, a.name, b.name AS depends_on FROM macros a JOIN macros b ON a.folder = b.folder "
+            "WHERE regexp_matches(a.body, replace(b.name, '\\', '\\\\') || '([^A-Za-z@*]|$)')"),
+        "RECURSIVE_closure",
+    ],
+    "SELECT folder, name, depends_on FROM closure",
+)
+ORACLE["macro_deps"] = ORACLE["macro_deps"].replace("WITH ", "WITH RECURSIVE ", 1).replace(
+    "RECURSIVE_closure",
+    "closure AS (SELECT folder, name, depends_on FROM edges UNION "
+    "SELECT c.folder, c.name, e.depends_on FROM closure c JOIN edges e ON e.folder = c.folder AND e.name = c.depends_on)",
+)
+
+
+def _expansion(x: str) -> str:
+    mark = "chr(64990)"
+    x = rf"replace({x}, '\isundefined{{\foo}}', {mark})"
+    for old, new in (
+        (r"\barred", r"{\bar\half}"), (r"\bar", r"{\foo{b}}"), (r"\half", r"{\frac{1}{2}}"),
+        (r"\rank", r"\operatorname{rank}"), (r"\selfy", ""), (r"\me" + "\n", "{b  c}\n"),
+    ):
+        x = f"replace({x}, '{old}', '{new}')"
+    x = rf"regexp_replace({x}, '\\pair\(([^,]*),([^)]*)\)', '{{<\1|\2>}}', 'g')"
+    x = rf"regexp_replace({x}, '\\two(\{{[^{{}}]*\}})(\{{[^{{}}]*\}})', '{{\\foo{{\2}}-\1}}', 'g')"
+    x = rf"regexp_replace({x}, '\\opt\[([^\]]*)\](\{{[^{{}}]*\}})', '{{\1+\2}}', 'g')"
+    x = rf"regexp_replace({x}, '\\opt(\{{[^{{}}]*\}})', '{{k+\1}}', 'g')"
+    x = (
+        rf"regexp_replace({x}, '\\foo(\{{\{{[^{{}}]*\}}\}}|\{{[^{{}}]*\}})', "
+        r"CASE WHEN d % 10 = 4 THEN '{g(\1)}' ELSE '{f(\1)}' END, 'g')"
+    )
+    return rf"replace({x}, {mark}, '\isundefined{{\foo}}')"
+
+
+EXPANDED = cte(
+    "bodies_only",
+    r"SELECT folder, d, '\documentclass{article}' || chr(10) || chr(10) || substr(text, strpos(text, '\begin{document}')) AS text FROM inputs",
+) + ", " + cte(
+    "expanded",
+    "SELECT folder, CASE WHEN d % 31 = 2 THEN 'not converged' ELSE 'complete' END AS status, "
+    r"regexp_replace(CASE WHEN d % 31 = 2 THEN text ELSE " + _expansion("text")
+    + r" END, '\n{3,}', chr(10) || chr(10), 'g') AS text FROM bodies_only",
+)
+oracle("expand_macros", [SUBMISSIONS, INPUTS, EXPANDED], "SELECT folder, status, text FROM expanded")
+oracle(
+    "macro_outcomes", [SUBMISSIONS, INPUTS, EXPANDED],
+    "SELECT status, count(*) AS n FROM (SELECT status FROM expanded UNION ALL SELECT 'no main file' FROM "
+    "(SELECT folder FROM files EXCEPT SELECT folder FROM mains)) GROUP BY status",
+)
+
+oracle("stream_packages", [TEX, PACKAGES], "SELECT package, count(*) AS n FROM packages GROUP BY package")
+oracle("stream_eq_keys", _DICT, "SELECT eq_key FROM eq_dict")
