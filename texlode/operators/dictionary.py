@@ -78,31 +78,34 @@ def equation_dictionary(classified: DataFrame) -> DataFrame:
 
 
 def multiline_dictionary(classified: DataFrame, eq_dict: DataFrame) -> DataFrame:
-    """``(eqid, sub_ids, eq_text)``: distinct multi-line equations, ids of their lines in order."""
+    """``(eqid, sub_ids, eq_text, n_occurrences)``: distinct multi-line equations, ids of their lines in order."""
     distinct = (
         classified.filter(F.col("is_multiline"))
         .groupBy(F.col("text").alias("eq_text"))
-        .agg(F.min(F.struct("file", "eq_no", "flat_eq")).alias("first"))
-        .select("eq_text", "first.*")
+        .agg(
+            F.min(F.struct("file", "eq_no", "flat_eq")).alias("first"),
+            F.count(F.lit(1)).alias("n_occurrences"),
+        )
+        .select("eq_text", "first.*", "n_occurrences")
     )
     numbered = dense_ids(distinct, ["file", "eq_no"], "eq_number")
     lines = explode_rows(
         numbered.select("eq_number", equations.sub_equations("flat_eq").alias("lines")),
         "lines", "sub_no", "eq_key", ["eq_number"],
     )
-    found = lookup(lines, eq_dict.select("eq_key", "eqid"), "eq_key")
+    found = lookup(lines, eq_dict.select("eq_key", "eqid", "n_occurrences"), "eq_key", "n_occurrences")
     ids = found.groupBy("eq_number").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("sub_no", "eqid"))), lambda pair: pair["eqid"]
         ).alias("sub_ids")
     )
     return numbered.join(ids, "eq_number").select(
-        _eqid(MULTI_PREFIX, "eq_number").alias("eqid"), "sub_ids", "eq_text"
+        _eqid(MULTI_PREFIX, "eq_number").alias("eqid"), "sub_ids", "eq_text", "n_occurrences"
     )
 
 
 def inline_dictionary(inline: DataFrame) -> DataFrame:
-    """``(eqid, eq_text)``: distinct inline equations, numbered by first occurrence."""
+    """``(eqid, eq_text, n_occurrences)``: distinct inline equations, numbered by first occurrence."""
     distinct = (
         inline.groupBy(F.col("text").alias("eq_text"))
         .agg(
@@ -143,16 +146,16 @@ def extend_dictionary(classified: DataFrame, prior: DataFrame) -> DataFrame:
 
 def assign_ids(classified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -> DataFrame:
     """Each equation with its id: by flat key first, then multi-line by raw text."""
-    counts = None
-    if "n_occurrences" in eq_dict.columns:
-        counts = eq_dict.select("eq_key", F.col("n_occurrences").alias("hits"))
     facts = classified.withColumnRenamed("flat_eq", "eq_key")
-    by_key = lookup(facts, eq_dict.select("eq_key", "eqid"), "eq_key", counts)
+    by_key = lookup(
+        facts, eq_dict.select("eq_key", "eqid", "n_occurrences"), "eq_key", "n_occurrences"
+    )
     open_text = F.when(F.col("eqid").isNull(), F.col("text"))
     by_text = lookup(
         by_key.withColumn("eq_text", open_text),
-        meq_dict.select("eq_text", F.col("eqid").alias("meqid")),
+        meq_dict.select("eq_text", F.col("eqid").alias("meqid"), "n_occurrences"),
         "eq_text",
+        "n_occurrences",
     )
     return by_text.withColumn("eqid", F.coalesce("eqid", "meqid")).drop("eq_text", "meqid")
 
@@ -225,10 +228,9 @@ def enumerated_inline_documents(docs: DataFrame, inline_dict: DataFrame) -> Data
 
     Inline math that spans lines has no id and falls out of the text.
     """
-    counts = inline_dict.select("eq_text", F.col("n_occurrences").alias("hits"))
     facts = inline_equations(docs).select("file", "eq_no", F.col("text").alias("eq_text"))
     known = (
-        lookup(facts, inline_dict.select("eq_text", "eqid"), "eq_text", counts)
+        lookup(facts, inline_dict.select("eq_text", "eqid", "n_occurrences"), "eq_text", "n_occurrences")
         .groupBy("file")
         .agg(F.transform(
             F.array_sort(F.collect_list(F.struct("eq_no", "eqid"))), lambda pair: pair["eqid"]

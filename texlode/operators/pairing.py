@@ -136,10 +136,12 @@ def attach_ids(objects: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -> D
             F.concat(F.lit("S"), equations.flat_form("text"))
         ),
     )
-    keys = eq_dict.select(F.concat(F.lit("S"), "eq_key").alias("lookup_key"), "eqid").unionByName(
-        meq_dict.select(F.concat(F.lit("M"), "eq_text").alias("lookup_key"), "eqid")
+    keys = eq_dict.select(
+        F.concat(F.lit("S"), "eq_key").alias("lookup_key"), "eqid", "n_occurrences"
+    ).unionByName(
+        meq_dict.select(F.concat(F.lit("M"), "eq_text").alias("lookup_key"), "eqid", "n_occurrences")
     )
-    return lookup(kinded, keys, "lookup_key").drop("_multi", "lookup_key")
+    return lookup(kinded, keys, "lookup_key", "n_occurrences").drop("_multi", "lookup_key")
 
 
 def document_counts(identified: DataFrame) -> DataFrame:

@@ -119,26 +119,20 @@ def hot_keys(counts: DataFrame, key: str, hits: str) -> DataFrame:
     )
 
 
-def lookup(
-    facts: DataFrame, dictionary: DataFrame, key: str, counts: DataFrame | None = None
-) -> DataFrame:
+def lookup(facts: DataFrame, dictionary: DataFrame, key: str, hits: str) -> DataFrame:
     """Left join of facts to a dictionary that has one row per key and short values.
 
-    Hot keys, at most ``MAX_HOT_KEYS`` by counting, are joined by broadcast of
-    their digest and values.  Their facts, and facts without a key, then carry a
-    random-like join key that no dictionary row has, so that the shuffle join of
-    all other keys spreads them evenly.  ``counts(key, hits)`` may give the known
-    number of facts per key; otherwise the facts are counted.
+    ``hits`` is the dictionary's count of uses of each key, at least its number
+    of facts.  Hot keys, at most ``MAX_HOT_KEYS`` by counting, are joined by
+    broadcast of their digest and values.  Their facts, and facts without a key,
+    then carry a join key of their own that no dictionary row has, so that the
+    shuffle join of all other keys spreads them evenly.
     """
-    values = [c for c in dictionary.columns if c != key]
-    if counts is None:
-        counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(
-            F.count(F.lit(1)).alias("hits")
-        )
+    values = [c for c in dictionary.columns if c not in (key, hits)]
     digest = F.sha2(F.col(key), 256)
     hot = (
         dictionary.withColumn("_digest", digest)
-        .join(F.broadcast(hot_keys(counts, key, "hits")), "_digest")
+        .join(F.broadcast(hot_keys(dictionary, key, hits)), "_digest", "left_semi")
         .select("_digest", F.struct(*values).alias("_hot"))
     )
     tagged = (

@@ -31,6 +31,7 @@ def query(name: str):
 
         run.__name__ = name
         run.__doc__ = build.__doc__
+        run.build = build
         QUERIES[name] = run
         return build
 
@@ -238,8 +239,8 @@ def _dictionaries(c: Corpus, classified: DataFrame | None = None) -> tuple[DataF
     """Both dictionaries from one extraction, which is written once and read twice."""
     if classified is None:
         classified = materialize(X.classified_equations(c.tex))
-    eqs = D.equation_dictionary(classified)
-    return eqs, D.multiline_dictionary(classified, eqs)
+    eqs = materialize(D.equation_dictionary(classified))
+    return eqs, materialize(D.multiline_dictionary(classified, eqs))
 
 
 def _in_english(c: Corpus) -> DataFrame:
@@ -263,7 +264,7 @@ def resume_ids(c):
     """Dictionary of the English documents, extended by the whole corpus."""
     c.store("tex")
     classified = materialize(X.classified_equations(c.tex))
-    prior = D.equation_dictionary(classified.join(_in_english(c), "doc_name", "left_semi"))
+    prior = materialize(D.equation_dictionary(classified.join(_in_english(c), "doc_name", "left_semi")))
     return D.extend_dictionary(classified, prior).select("eqid", "eq_key", "is_new")
 
 
@@ -289,7 +290,7 @@ def unmatched_equations(c):
 @query("enumerated_inline_docs")
 def enumerated_inline_docs(c):
     c.store("tex")
-    return D.enumerated_inline_documents(c.tex, D.inline_dictionary(X.inline_equations(c.tex))).select("file", "text", "n_replaced")
+    return D.enumerated_inline_documents(c.tex, materialize(D.inline_dictionary(X.inline_equations(c.tex)))).select("file", "text", "n_replaced")
 
 
 @query("dict_totals")
