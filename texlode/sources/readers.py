@@ -6,6 +6,8 @@ also serves texts that already stand in a table.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from texlode.plans.physical import explode_rows
 
 # Fixed value: the ending of a folder of converted documents.
 CONVERTED_SUFFIX = "_converted"
+SCHEME = r"^(?:\w+:)?/*"
 ATOM_CATEGORY = r'(?s)<arxiv:primary_category[^>]*?\sterm="(.*?)"'
 SQL_PAIR = r"(?U)(\w+)\s###([^#]+)###"
 
@@ -49,8 +52,9 @@ def read_tex_parent(spark: SparkSession, path: str, glob: str | None = "*.tex")
 
 def parse_submissions(files: DataFrame, root: str) -> DataFrame:
     """``(path, content)`` below ``root`` to ``(folder, rel_path, text)``."""
-    below = F.regexp_extract("path", r"^(?:\w+:/*)?/*(.*)$", 1)
-    cut = F.substring(below, F.lit(len(root.strip("/")) + 2), F.length("path"))
+    below = F.regexp_extract("path", SCHEME + "(.*)$", 1)
+    start = len(re.sub(SCHEME, "", root).rstrip("/")) + 2
+    cut = F.substring(below, F.lit(start), F.length("path"))
     return files.select(
         F.substring_index(cut, "/", 1).alias("folder"),
         F.regexp_extract(cut, r"^[^/]+/(.*)$", 1).alias("rel_path"),
