@@ -151,9 +151,8 @@ def test_css_links(one):
 
 
 def test_legacy_count_counts_overlaps(one):
-    # One equation, one bracket, and the dollar pair under two patterns.
+    # One equation, one bracket, and the dollars once as a pair, twice as single ones.
     text = "a \\begin{equation}x\\end{equation} \\[y\\] $$z$$ % $no$\n"
-    # '$$z$$' counts for the double dollar and once for the single: ' $' + '$'.
     assert one(cleaning.legacy_equation_count, text) == 5
 
 
