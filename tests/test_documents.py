@@ -46,7 +46,7 @@ def test_pairs_and_rejects(spark, docs_of):
         ("d/001.tex", "LaTeX/XHTML equation count mismatch", "LaTeX - 1, XHTML - 2"),
         ("d/002.tex", "missing_xhtml", ""),
     ]
-    items = json.loads(P.equations_json(objects).first()["json"])
+    items = json.loads(P.equations_json(paired).first()["json"])
     assert [i["mathml"] for i in items] == ["<math>1</math>", "", "<math>3</math>\n<math>4</math>"]
     assert items[0]["itemtype"] == "equation" and items[0]["type"] == "latex"
 

@@ -129,10 +129,8 @@ def extend_dictionary(classified: DataFrame, prior: DataFrame) -> DataFrame:
         prior.select("eq_key"), "eq_key", "left_anti"
     )
     numbered = dense_ids(fresh, ["file", "eq_no", "sub_no", "eq_key"], "place")
-    start = prior.agg(F.coalesce(F.max("eq_number") + 1, F.lit(0)).alias("start"))
-    added = numbered.crossJoin(F.broadcast(start)).withColumn(
-        "eq_number", F.col("start") + F.col("place")
-    )
+    start = prior.agg(F.coalesce(F.max("eq_number") + 1, F.lit(0))).scalar()
+    added = numbered.withColumn("eq_number", start + F.col("place"))
     added = added.select(
         _eqid(SINGLE_PREFIX, "eq_number").alias("eqid"),
         "eq_key",

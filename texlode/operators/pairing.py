@@ -70,35 +70,40 @@ def paired_documents(docs: DataFrame, xhtml: DataFrame) -> DataFrame:
     return joined.withColumn("reason", reason)
 
 
+def _objects():
+    """Equation objects of one paired document, as an array of structs."""
+
+    def build(eq, n):
+        first = F.array_position("eqs", eq).cast("int")
+        return F.struct(
+            eq.alias("text"),
+            F.lit("latex").alias("type"),
+            F.lit("equation").alias("itemtype"),
+            F.get("parts", first - 1).alias("prevtext"),
+            F.get("parts", first).alias("nexttext"),
+            F.col("file").alias("file"),
+            (first * 2 - 1).alias("index"),
+            (F.instr("body", eq) - 1).cast("int").alias("pos"),
+            F.get("mathml", n).alias("mathml"),
+        )
+
+    return F.transform("eqs", build)
+
+
 def equation_objects(paired: DataFrame) -> DataFrame:
     """The n-th TeX equation with the n-th MathML, where a document has as many of both.
 
     ``index``, ``pos`` and the context are those of the first equal equation of
     the document; ``eq_no`` is the equation's own place.
     """
-    items = F.transform(
-        "eqs",
-        lambda eq, n: F.struct(
-            eq.alias("text"),
-            F.array_position("eqs", eq).cast("int").alias("first"),
-            F.get("mathml", n).alias("mathml"),
-        ),
-    )
-    ready = paired.filter(F.col("reason").isNull()).select(
-        "file", "body", "parts", F.posexplode_outer(items).alias("eq_no", "item")
-    )
-    return ready.select(
-        "file",
-        "eq_no",
-        F.col("item.text").alias("text"),
-        F.lit("latex").alias("type"),
-        F.lit("equation").alias("itemtype"),
-        F.get("parts", F.col("item.first") - 1).alias("prevtext"),
-        F.get("parts", F.col("item.first")).alias("nexttext"),
-        (F.col("item.first") * 2 - 1).cast("int").alias("index"),
-        (F.instr("body", F.col("item.text")) - 1).cast("int").alias("pos"),
-        F.col("item.mathml").alias("mathml"),
-    )
+    ready = paired.filter(F.col("reason").isNull()).select(_objects().alias("items"))
+    return explode_rows(ready, "items", "eq_no", "item", []).select("eq_no", "item.*")
+
+
+def equations_json(paired: DataFrame) -> DataFrame:
+    """One JSON array of equation objects per document, in reading order."""
+    ready = paired.filter(F.col("reason").isNull())
+    return ready.select("file", F.to_json(_objects()).alias("json"))
 
 
 def pairing_rejects(paired: DataFrame) -> DataFrame:
@@ -114,16 +119,6 @@ def pairing_rejects(paired: DataFrame) -> DataFrame:
     )
 
 
-def equations_json(objects: DataFrame) -> DataFrame:
-    """One JSON array of equation objects per document, in reading order."""
-    fields = [name.strip().split(" ")[0] for name in EQUATION_SCHEMA.split(",")]
-    item = F.struct("eq_no", F.struct(*fields).alias("object"))
-    grouped = objects.groupBy("file").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return grouped.select(
-        "file", F.to_json(F.transform("items", lambda i: i["object"])).alias("json")
-    )
-
-
 def attach_ids(objects: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -> DataFrame:
     """Equation objects with the id of their dictionary row, null for a mismatch.
 
@@ -226,8 +221,11 @@ def coverage(xhtml: DataFrame, log: DataFrame, math_docs: DataFrame) -> DataFram
     def percent(part: Column, whole: Column) -> Column:
         return F.round((F.lit(1) - part / F.nullif(whole, F.lit(0))) * 100, 2)
 
-    # Three one-row frames.
-    one = tables.crossJoin(failures).crossJoin(documents)
+    # Each frame is one row with its own columns; their union folds into one row.
+    rows = tables.unionByName(failures, allowMissingColumns=True).unionByName(
+        documents, allowMissingColumns=True
+    )
+    one = rows.agg(*[F.max(name).alias(name) for name in rows.columns])
     return one.select(
         "n_failed",
         "n_timed_out",

@@ -68,10 +68,11 @@ def _resolved(docs: DataFrame) -> DataFrame:
 
 def label_references(docs: DataFrame) -> DataFrame:
     """Each reference to an equation label with its equation."""
-    found = _resolved(docs).select("file", "eqs", "hits")
-    return explode_rows(found, "hits", "hit_no", "hit", ["file", "eqs"]).select(
-        "file", "hit.ref_no", "hit.label", "hit.eq_no", F.get("eqs", F.col("hit.eq_no")).alias("text")
+    named = F.transform(
+        "hits", lambda hit: hit.withField("text", F.get("eqs", hit["eq_no"]))
     )
+    found = _resolved(docs).select("file", named.alias("hits"))
+    return explode_rows(found, "hits", "hit_no", "hit", ["file"]).select("file", "hit.*")
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -102,18 +103,16 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def reference_counts(docs: DataFrame) -> DataFrame:
     """Number of references per equation text and document."""
-    found = _counted(docs).select("file", "eqs", "counts")
-    return explode_rows(found, "counts", "n_th", "c", ["file", "eqs"]).select(
-        "file", F.get("eqs", F.col("c.eq_no")).alias("text"), F.col("c.n").alias("n_refs")
+    named = F.transform(
+        "counts",
+        lambda c: F.struct(F.get("eqs", c["eq_no"]).alias("text"), c["n"].alias("n_refs")),
     )
+    found = _counted(docs).select("file", named.alias("counts"))
+    return explode_rows(found, "counts", "n_th", "c", ["file"]).select("file", "c.*")
 
 
-def most_significant(docs: DataFrame) -> DataFrame:
-    """Most referenced equation per document with math.
-
-    Ties go to the earliest place in the comment-free text, then to the earliest
-    reference; without references the first equation stands in, ``n_refs`` null.
-    """
+def _best(docs: DataFrame) -> DataFrame:
+    """Every document with its chosen equation; ``text`` is null without math."""
     ranked = F.transform(
         "counts",
         lambda c: F.struct(
@@ -123,34 +122,39 @@ def most_significant(docs: DataFrame) -> DataFrame:
             c["eq_no"].alias("eq_no"),
         ),
     )
-    staged = compute_once(
+    return compute_once(
         _counted(docs).select(*DOCUMENT_KEY, "eqs", F.array_min(ranked).alias("best")),
         "chosen",
         F.struct(
             F.get("eqs", F.coalesce("best.eq_no", F.lit(0))).alias("text"),
             (-F.col("best.minus")).alias("n_refs"),
         ),
-    )
-    return staged.filter(F.col("chosen.text").isNotNull()).select(*DOCUMENT_KEY, "chosen.*")
+    ).select(*DOCUMENT_KEY, "chosen.*")
+
+
+def most_significant(docs: DataFrame) -> DataFrame:
+    """Most referenced equation per document with math.
+
+    Ties go to the earliest place in the comment-free text, then to the earliest
+    reference; without references the first equation stands in, ``n_refs`` null.
+    """
+    return _best(docs).filter(F.col("text").isNotNull())
 
 
 def significance_status(docs: DataFrame, bibcodes: DataFrame | None = None) -> DataFrame:
     """Outcome per document; bibcodes, when given, are joined by document name."""
-    best = most_significant(docs)
-    rows = docs.select(*DOCUMENT_KEY)
-    if bibcodes is not None:
-        rows = rows.join(bibcodes, "doc_name", "left")
-    else:
-        rows = rows.withColumn("bibcode", F.col("doc_name"))
-    merged = rows.join(best.drop("dir", "doc_name"), "file", "left")
-    status = (
-        F.when(F.col("bibcode").isNull(), "no bibcode")
-        .when(F.col("text").isNull(), "no equations")
+    outcome = (
+        F.when(F.col("text").isNull(), "no equations")
         .when(F.length("text") > P.MAX_RENDERED_LENGTH, "MSE too long")
         .when(F.col("n_refs").isNull(), "first equation")
         .otherwise(F.concat(F.col("n_refs").cast("string"), F.lit(" occurrences")))
     )
-    return merged.select(*DOCUMENT_KEY, "bibcode", status.alias("status"))
+    # The outcome is settled before the join, so no equation text is shuffled.
+    rows = _best(docs).select(*DOCUMENT_KEY, outcome.alias("status"))
+    if bibcodes is None:
+        return rows.withColumn("bibcode", F.col("doc_name"))
+    status = F.when(F.col("bibcode").isNull(), "no bibcode").otherwise(F.col("status"))
+    return rows.join(bibcodes, "doc_name", "left").withColumn("status", status)
 
 
 def with_bibcodes(most: DataFrame, bibcodes: DataFrame) -> DataFrame:

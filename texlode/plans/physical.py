@@ -111,11 +111,9 @@ def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 def hot_keys(counts: DataFrame, key: str, hits: str) -> DataFrame:
     """Digests of the keys that hold at least one in ``MAX_HOT_KEYS`` of all hits."""
-    total = counts.agg(F.sum(hits).alias("_total"))
-    return (
-        counts.crossJoin(F.broadcast(total))
-        .filter(F.col(hits) * MAX_HOT_KEYS >= F.col("_total"))
-        .select(F.sha2(F.col(key), 256).alias("_digest"))
+    total = counts.agg(F.sum(hits)).scalar()
+    return counts.filter(F.col(hits) * MAX_HOT_KEYS >= total).select(
+        F.sha2(F.col(key), 256).alias("_digest")
     )
 
 

@@ -318,8 +318,12 @@ def read_eq_tsv(c):
 # --- Pairing ---------------------------------------------------------------
 
 
+def _paired(c: Corpus) -> DataFrame:
+    return P.paired_documents(c.tex, c.xhtml)
+
+
 def _objects(c: Corpus) -> DataFrame:
-    return P.equation_objects(P.paired_documents(c.tex, c.xhtml))
+    return P.equation_objects(_paired(c))
 
 
 @query("xhtml_equations")
@@ -347,18 +351,18 @@ def equation_objects(c):
 
 @query("eq_count_mismatch")
 def eq_count_mismatch(c):
-    rejects = P.pairing_rejects(P.paired_documents(c.tex, c.xhtml))
+    rejects = P.pairing_rejects(_paired(c))
     return rejects.filter(F.col("reason") == P.MESSAGE_COUNTS)
 
 
 @query("equations_json")
 def equations_json(c):
-    return P.equations_json(_objects(c))
+    return P.equations_json(_paired(c))
 
 
 @query("read_eq_json")
 def read_eq_json(c):
-    return readers.parse_equation_json(P.equations_json(_objects(c)).select("json")).select(
+    return readers.parse_equation_json(P.equations_json(_paired(c)).select("json")).select(
         "file", "eq_no", "text", "prevtext", "index", "pos", "mathml"
     )
 
@@ -491,7 +495,7 @@ def _rejects(c: Corpus) -> DataFrame:
     log = readers.parse_log_lines(c.log_lines).select(
         F.lit("convert").alias("op"), "file", F.btrim("message").alias("reason"), F.lit("").alias("detail")
     )
-    pairs = P.pairing_rejects(P.paired_documents(c.tex, c.xhtml))
+    pairs = P.pairing_rejects(_paired(c))
     return R.bodyless(c.tex).unionByName(pairs).unionByName(log)
 
 
@@ -505,7 +509,7 @@ def rejects_summary(c):
 def quarantine_docs(c):
     """Equation-only form of each document that failed to pair."""
     c.store("tex")
-    failed = P.pairing_rejects(P.paired_documents(c.tex, c.xhtml)).filter(F.col("reason") == P.MESSAGE_COUNTS)
+    failed = P.pairing_rejects(_paired(c)).filter(F.col("reason") == P.MESSAGE_COUNTS)
     return X.sanitized_text(R.quarantined(c.tex, failed)).select("file", "text")
 
 
