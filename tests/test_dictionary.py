@@ -67,8 +67,9 @@ def test_equation_inside_another_does_not_corrupt(docs_of):
 
 def test_inline_documents(docs_of):
     docs = docs_of(*TEXTS, body("a $x\ny$ b $p$ c"), body("none"))
-    inline = D.inline_dictionary(X.inline_equations(docs))
-    out = dict(table(D.enumerated_inline_documents(docs, inline), "file", "text"))
+    inline = X.inline_equations(docs)
+    found = D.enumerated_inline_documents(docs, inline, D.inline_dictionary(inline))
+    out = dict(table(found, "file", "text"))
     assert out["d/000.tex"].endswith("and EQIX0Q or EQIX1Q x\\end{document}")
     assert out["d/003.tex"] == body("a  b EQIX0Q c")
     assert "d/004.tex" not in out

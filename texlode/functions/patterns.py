@@ -4,6 +4,8 @@ Rules kept throughout:
 
 * literal braces are escaped, ``(?s)`` stands once at the front;
 * loops over groups are possessive, so a long run never deepens the JVM stack;
+* a pattern opens with the character it needs, and looks back after it, so that
+  the search passes over other characters at the cost of one comparison;
 * ``[^\\n]`` is used where "any character of one line" is meant (Java's ``.``
   also stops at CR, U+0085, U+2028 and U+2029).
 """
@@ -32,9 +34,9 @@ _any_env = "|".join(DISPLAY_ENVIRONMENTS)
 _multi_env = "|".join(MULTILINE_ENVIRONMENTS)
 
 # Comments.
-COMMENT_LINE = r"(?<=\n)%[^\n]++\n"
-COMMENT_JOIN = r"(?<!\\)%\n"
-COMMENT_TAIL = r"(?<!\\)%[^\n]*+\n"
+COMMENT_LINE = r"%(?<=\n%)[^\n]++\n"
+COMMENT_JOIN = r"%(?<!\\%)\n"
+COMMENT_TAIL = r"%(?<!\\%)[^\n]*+\n"
 COMMENT_ENVIRONMENT = r"(?s)\\begin\{comment\}.*?\\end\{comment\}"
 
 # Document frame.
@@ -47,9 +49,9 @@ PACKAGE_NAMES = r"\\usepackage(?:\[[^\n]*?\])*\{([^\n]*?)\}"
 # Math.  Display math is one of seven environments (star optional at either
 # end), ``\[..\]`` not preceded by a backslash, or ``$$..$$`` not opening with ^.
 DISPLAY_MATH = (
-    r"(?s)\\begin\{(" + _any_env + r")\*?\}.*?\\end\{\1\*?\}"
-    r"|(?<!\\)\\\[.*?\\\]"
-    r"|\$\$[^\^].*?\$\$"
+    r"(?s)(?=[\\$])(?:\\begin\{(" + _any_env + r")\*?\}.*?\\end\{\1\*?\}"
+    r"|\\\[(?<!\\\\\[).*?\\\]"
+    r"|\$\$[^\^].*?\$\$)"
 )
 DISPLAY_PARTS = (
     r"(?s)^(?:\\begin\{(" + _any_env + r")\*?\}(.*?)\\end\{\1\*?\}"
@@ -61,7 +63,7 @@ STARTS_MULTILINE = r"(?s)^\\begin\{(" + _multi_env + r")\*?\}.*?\\end\{\1\*?\}"
 STARTS_BRACKET = r"(?s)^\\\[.*?\\\]"
 STARTS_DOLLARS = r"(?s)^\$\$[^\^].*?\$\$"
 DOUBLE_DOLLAR = r"(?s)(\$\$[^\^].*?\$\$)"
-INLINE_RUN = r"(?<=[^$])((?:\$[^$]++\$)++)(?=[^$])"
+INLINE_RUN = r"(\$(?<=[^$]\$)[^$]++\$(?:\$[^$]++\$)*+)(?=[^$])"
 INLINE_ONE = r"\$[^\n]+?\$"
 
 # Layout removed from an equation, in the order it is removed.

@@ -11,7 +11,6 @@ from texlode.functions.columns import find_all
 from texlode.operators.extract import (
     DOCUMENT_KEY,
     display_array,
-    inline_equations,
     text_array,
     with_clean_body,
 )
@@ -221,12 +220,14 @@ def unmatched_equations(
     )
 
 
-def enumerated_inline_documents(docs: DataFrame, inline_dict: DataFrame) -> DataFrame:
+def enumerated_inline_documents(
+    docs: DataFrame, inline: DataFrame, inline_dict: DataFrame
+) -> DataFrame:
     """Bodies with each inline equation replaced by its id; documents without any are left out.
 
     Inline math that spans lines has no id and falls out of the text.
     """
-    facts = inline_equations(docs).select("file", "eq_no", F.col("text").alias("eq_text"))
+    facts = inline.select("file", "eq_no", F.col("text").alias("eq_text"))
     known = (
         lookup(facts, inline_dict.select("eq_text", "eqid", "n_occurrences"), "eq_text", "n_occurrences")
         .groupBy("file")

@@ -290,7 +290,9 @@ def unmatched_equations(c):
 @query("enumerated_inline_docs")
 def enumerated_inline_docs(c):
     c.store("tex")
-    return D.enumerated_inline_documents(c.tex, materialize(D.inline_dictionary(X.inline_equations(c.tex)))).select("file", "text", "n_replaced")
+    inline = materialize(X.inline_equations(c.tex))
+    found = D.enumerated_inline_documents(c.tex, inline, materialize(D.inline_dictionary(inline)))
+    return found.select("file", "text", "n_replaced")
 
 
 @query("dict_totals")
