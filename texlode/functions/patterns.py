@@ -22,7 +22,6 @@ WHITESPACE = (
 )
 MAX_RENDERED_LENGTH = 1500
 TOP_PACKAGES = 50
-# ---------------------------------------------------------------------------
 
 # Unicode noncharacters are reserved for internal use by a program, so they
 # never stand in a text: they hold the place of an escaped character.
@@ -33,6 +32,8 @@ PARKED_BACKSLASHES = "\ufdd2"
 _any_env = "|".join(DISPLAY_ENVIRONMENTS)
 _multi_env = "|".join(MULTILINE_ENVIRONMENTS)
 
+# --- Fixed values: the patterns that define what is found and removed --------
+
 # Comments.
 COMMENT_LINE = r"%(?<=\n%)[^\n]++\n"
 COMMENT_JOIN = r"%(?<!\\%)\n"
