@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from texlode.functions import cleaning, equations
 from texlode.functions import patterns as P
+from texlode.functions.columns import let
 from texlode.operators.extract import DOCUMENT_KEY, display_array, with_clean_body
 from texlode.plans.physical import compute_once, explode_rows
 
@@ -47,21 +48,26 @@ def equation_references(docs: DataFrame) -> DataFrame:
 def _resolved(docs: DataFrame) -> DataFrame:
     """Adds ``hits``: references with the last equation that bears their label."""
     labelled = _with_labels(docs)
-    hits = F.filter(
-        F.transform(
-            "refs",
-            lambda ref, n: F.struct(
-                n.alias("ref_no"),
-                ref.alias("label"),
-                F.array_max(
-                    F.transform(
-                        F.filter("labels", lambda mark: mark["label"] == ref),
-                        lambda mark: mark["eq_no"],
-                    )
-                ).alias("eq_no"),
+    # ``let`` keeps the labels out of the loop over the references, into which the
+    # optimizer would otherwise move the search for them.
+    hits = let(
+        F.col("labels"),
+        lambda labels: F.filter(
+            F.transform(
+                "refs",
+                lambda ref, n: F.struct(
+                    n.alias("ref_no"),
+                    ref.alias("label"),
+                    F.array_max(
+                        F.transform(
+                            F.filter(labels, lambda mark: mark["label"] == ref),
+                            lambda mark: mark["eq_no"],
+                        )
+                    ).alias("eq_no"),
+                ),
             ),
+            lambda hit: hit["eq_no"].isNotNull(),
         ),
-        lambda hit: hit["eq_no"].isNotNull(),
     )
     return labelled.withColumn("hits", hits)
 
