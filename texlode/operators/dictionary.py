@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from texlode.functions import cleaning, equations
 from texlode.functions import patterns as P
-from texlode.functions.columns import find_all
+from texlode.functions.columns import find_all, let
 from texlode.operators.extract import (
     DOCUMENT_KEY,
     display_array,
@@ -165,11 +165,15 @@ def enumerated_documents(
     Only equation keys travel to the dictionary; the document text is shuffled
     once, by file, to take its ids.
     """
+    # Equations are numbered from 0 without gaps, so the n-th id is that of equation n.
     known = (
         assign_ids(classified.select("file", "eq_no", "text", "flat_eq"), eq_dict, meq_dict)
-        .filter(F.col("eqid").isNotNull())
         .groupBy("file")
-        .agg(F.map_from_entries(F.collect_list(F.struct("eq_no", "eqid"))).alias("ids"))
+        .agg(
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("eq_no", "eqid"))), lambda pair: pair["eqid"]
+            ).alias("ids")
+        )
     )
     whole = (
         docs.withColumn("plain", cleaning.strip_comments("text"))
@@ -197,13 +201,13 @@ def enumerated_documents(
         "parts",
         lambda part, n: F.concat(
             part,
-            F.coalesce(F.element_at("ids", n), F.get("eqs", n), F.lit("")),
+            F.coalesce(F.get("ids", n), F.get("eqs", n), F.lit("")),
         ),
     )
     return filled.select(
         *DOCUMENT_KEY,
         F.concat("head", F.array_join(middle, ""), "tail").alias("text"),
-        F.coalesce(F.size("ids"), F.lit(0)).alias("n_replaced"),
+        F.coalesce(F.array_size(F.array_compact("ids")), F.lit(0)).alias("n_replaced"),
     )
 
 
@@ -250,18 +254,20 @@ def enumerated_inline_documents(
         F.array(F.lit(0)),
         lambda sums, size: F.concat(sums, F.array(F.element_at(sums, -1) + size)),
     )
-    staged = filled.withColumn("starts", starts)
-    middle = F.transform(
-        "parts",
-        lambda part, n: F.concat(
-            part,
-            F.coalesce(
-                F.array_join(F.slice("ids", F.get("starts", n) + 1, F.get("sizes", n)), ""),
-                F.lit(""),
+    middle = let(
+        starts,
+        lambda firsts: F.transform(
+            "parts",
+            lambda part, n: F.concat(
+                part,
+                F.coalesce(
+                    F.array_join(F.slice("ids", F.get(firsts, n) + 1, F.get("sizes", n)), ""),
+                    F.lit(""),
+                ),
             ),
         ),
     )
-    return staged.select(
+    return filled.select(
         *DOCUMENT_KEY, F.array_join(middle, "").alias("text"), F.size("ids").alias("n_replaced")
     )
 
