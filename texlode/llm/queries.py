@@ -4,22 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from texlode.llm.exact_dedup import exact_groups
+from texlode.llm.near_dedup import near_groups
+from texlode.llm.packing import pack_documents
+from texlode.llm.quality_rules import repetition
 from texlode.llm.substring_dedup import remove_later
 from texlode.llm.suffix_dedup import remove_repeats
+from texlode.llm.tokens import length_histogram, round_trip_digests, token_counts
+from texlode.llm.workers import reach
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+# One vocabulary in two forms: for the library, and as ranks.
+PACK_TOKENIZER = "byte_bpe_50k.json"
+PACK_RANKS = "byte_bpe_50k.tiktoken"
+MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
+CONTEXT_LIMITS = [512, 1024, 2048, 4096, 8192, 16384, 32768, 65536, 131072]
+
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return build(reach(spark), folder)
+
+    run.__name__, run.__doc__ = build.__name__, build.__doc__
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
@@ -32,3 +49,57 @@ def op1_suffix_array_dedup(spark, folder):
 def op2_substring_dedup(spark, folder):
     """Words of each document without the windows of 20 that occurred earlier, as digest."""
     return remove_later(documents(spark, folder), width=20).drop("kept", "tag")
+
+
+@query
+def op4_quality_rules(spark, folder):
+    """Base counts of each document and the verdict on its repetition."""
+    return repetition(documents(spark, folder)).drop("covered_words", "longest_repeat")
+
+
+@query
+def op6_packing(spark, folder):
+    """Pieces of all documents in sequences of 1024 tokens."""
+    return pack_documents(
+        documents(spark, folder),
+        vocabulary=public_tokenizers.path(PACK_RANKS),
+        tokenizer=public_tokenizers.path(PACK_TOKENIZER),
+        end_id=0,
+        capacity=1024,
+    )
+
+
+@query
+def op7_exact_dedup(spark, folder):
+    """Group of equal texts of each document; the largest id stays."""
+    return exact_groups(documents(spark, folder), keep_smallest=False)
+
+
+ORACLE["op7_exact_dedup"] = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op8_minhash_near_dedup(spark, folder):
+    """Component of near-duplicate documents, by 5-word shingles and a similarity of 0.85."""
+    return near_groups(documents(spark, folder), percent=85)
+
+
+@query
+def op9_byte_bpe(spark, folder):
+    """Token ids of each document and the bytes decoded from them, as digests."""
+    return round_trip_digests(documents(spark, folder), public_tokenizers.path(MULTI_RANKS))
+
+
+@query
+def op10_token_counts(spark, folder):
+    """Histogram of encoded lengths with the totals at each length and context limit."""
+    counts = token_counts(documents(spark, folder), public_tokenizers.path(PACK_RANKS))
+    return length_histogram(counts, CONTEXT_LIMITS)
