@@ -51,6 +51,8 @@ SHORT_LIST = 64
 BLOCK_ROWS = 256
 # So many ids are broadcast to find their documents; more are joined by shuffle.
 BROADCAST_IDS = 500_000
+# Column of a join; no table has it.
+GONE = "texlode near dedup"
 # Pairs that numpy estimates at once.
 _PAIRS = 1 << 13
 _NONE = np.iinfo(np.uint64).max
@@ -369,3 +371,12 @@ def near_groups(docs: DataFrame, percent: int = 80, size: int = 5, k: int = K) -
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def drop_near(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """The documents that stay, with all their columns; an id names one document."""
+    groups = materialize(near_groups(docs, percent, size))
+    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias(GONE)).distinct()
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs["doc_id"].cast("bigint") == gone[GONE], "left_anti")

@@ -106,6 +106,12 @@ def _per_text(words: Words, values: np.ndarray) -> np.ndarray:
 
 
 def _judge(batches: Iterator[pa.RecordBatch], covered_percent: int, longest_words: int) -> Iterator[pa.RecordBatch]:
+    for _, judged in _verdicts(batches, covered_percent, longest_words):
+        yield judged
+
+
+def _verdicts(batches: Iterator[pa.RecordBatch], covered_percent: int, longest_words: int):
+    """Parts of the batches and the result rows of each."""
     polynomial = Polynomial(21)
     for batch in batches:
         all_texts = column_bytes(batch.column("text"))
@@ -132,9 +138,10 @@ def _judge(batches: Iterator[pa.RecordBatch], covered_percent: int, longest_word
             np.maximum.at(most, words.document(), longest)
             failed = (n_words < LEAST_WORDS) | (100 * repeat_words > REPEAT_PERCENT * n_words)
             kept = ~failed & (100 * covered <= covered_percent * n_words) & (most <= longest_words)
-            yield pa.RecordBatch.from_arrays(
+            part = batch.slice(i, j - i)
+            yield part, pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(i, j - i),
+                    part.column("doc_id"),
                     pa.array(n_words),
                     pa.array(word_chars),
                     pa.array(symbols, pa.int64()),
@@ -156,3 +163,15 @@ def repetition(
     return docs.select(docs["doc_id"].cast("bigint"), "text").mapInArrow(
         lambda batches: _judge(batches, covered_percent, longest_words), COLUMNS
     )
+
+
+def keep_passing(
+    docs: DataFrame, covered_percent: int = COVERED_PERCENT, longest_words: int = LONGEST_WORDS
+) -> DataFrame:
+    """The documents that pass, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, judged in _verdicts(batches, covered_percent, longest_words):
+            yield part.filter(judged.column("kept"))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from texlode.llm.exact_dedup import exact_groups
 from texlode.llm.near_dedup import near_groups
 from texlode.llm.packing import pack_documents
+from texlode.llm.quality_classifier import quality_scores
 from texlode.llm.quality_rules import repetition
+from texlode.llm.sharding import assign_shards
 from texlode.llm.substring_dedup import remove_later
 from texlode.llm.suffix_dedup import remove_repeats
 from texlode.llm.tokens import length_histogram, round_trip_digests, token_counts
@@ -51,12 +53,26 @@ def op2_substring_dedup(spark, folder):
     return remove_later(documents(spark, folder), width=20).drop("kept", "tag")
 
 
+@query
+def op3_sharding(spark, folder):
+    """Slot and shard of each document among 64 shards."""
+    shards = [f"shard-{i:04d}" for i in range(64)]
+    return assign_shards(documents(spark, folder), shards, slots=6553)
+
+
 @query
 def op4_quality_rules(spark, folder):
     """Base counts of each document and the verdict on its repetition."""
     return repetition(documents(spark, folder)).drop("covered_words", "longest_repeat")
 
 
+@query
+def op5_quality_classifier(spark, folder):
+    """Quality score of each document, learned from trusted positives and unlabelled text."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return quality_scores(documents(spark, folder), labels)
+
+
 @query
 def op6_packing(spark, folder):
     """Pieces of all documents in sequences of 1024 tokens."""

@@ -19,7 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from texlode.llm.batches import column_bytes
@@ -29,6 +29,7 @@ from texlode.llm.superkmers import (
     covered,
     found_batch,
     pack,
+    place,
     repeated,
     representatives,
     rows_of,
@@ -40,6 +41,8 @@ from texlode.llm.superkmers import (
 
 # Bytes of packed strings that are sorted at once.
 SORT_BYTES = 1 << 21
+# Column added for the time of a join; no table has it.
+TAG = "texlode substring dedup"
 
 
 def sort_buckets(held: dict[str, list], width: int) -> pa.RecordBatch:
@@ -112,8 +115,13 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def later_than_first(marked: DataFrame, place: Column) -> Column:
-    return place > marked["first"]
+def _later(docs: DataFrame, width: int) -> DataFrame:
+    """``(doc_id, tag, cuts)`` of the documents that lose words."""
+    spec = Spec(width, width // 2, words=True)
+    marked = candidates(docs, spec)
+    pieces = pack(docs, representatives(marked), spec)
+    found = repeated(pieces, spec, _compare(width), drop_first=True)
+    return covered(marked, found, spec, place() > F.col("first"))
 
 
 def remove_later(docs: DataFrame, width: int = 20) -> DataFrame:
@@ -121,18 +129,46 @@ def remove_later(docs: DataFrame, width: int = 20) -> DataFrame:
 
     ``kept`` holds the remaining words, joined by one space.
     """
-    from texlode.llm.superkmers import place
-
-    spec = Spec(width, width // 2, words=True)
-    marked = candidates(docs, spec)
-    pieces = pack(docs, representatives(marked), spec)
-    found = repeated(pieces, spec, _compare(width), drop_first=True)
-    cuts = covered(marked, found, spec, later_than_first(marked, place()))
+    cuts = _later(docs, width)
     rows = rows_of(docs)
     joined = rows.join(cuts, same_row(rows, cuts), "left").select(
-        rows["doc_id"], rows["tag"], rows["text"], F.col("cuts")
+        rows["doc_id"], rows["tag"], rows["text"], cuts["cuts"]
     )
     return joined.mapInArrow(
         _remove,
         "doc_id bigint, tag bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string",
     )
+
+
+def without_later(docs: DataFrame, width: int = 20) -> DataFrame:
+    """All documents and columns; a text that loses words is the others, joined by one space.
+
+    ``n_chars``, where there is one, follows the text.
+    """
+    cuts = _later(docs, width)
+    tagged = docs.withColumn(TAG, F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    joined = tagged.join(
+        cuts, tagged["doc_id"].cast("bigint").eqNullSafe(cuts["doc_id"]) & (tagged[TAG] == cuts["tag"]), "left"
+    ).select(*[docs[name] for name in docs.columns], cuts["cuts"].alias(TAG))
+    places = {name: i for i, name in enumerate(docs.columns)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            cut = batch.column(len(columns) - 1).to_pylist()
+            texts = batch.column(places["text"]).to_pylist()
+            for row, spans in enumerate(cut):
+                if spans:
+                    words = texts[row].encode().split()
+                    first, last = runs(~union_flags(spans, len(words)))
+                    left = [w for s, e in zip(first.tolist(), last.tolist(), strict=True) for w in words[s:e]]
+                    texts[row] = b" ".join(left).decode()
+            columns[places["text"]] = pa.array(texts, batch.schema.field(places["text"]).type)
+            if "n_chars" in places:
+                kind = batch.schema.field(places["n_chars"]).type
+                old = batch.column(places["n_chars"]).to_pylist()
+                sizes = [len(t) if s else o for t, s, o in zip(texts, cut, old, strict=True)]
+                columns[places["n_chars"]] = pa.array(sizes, kind)
+            yield pa.RecordBatch.from_arrays(columns[:-1], names=batch.schema.names[:-1])
+
+    return joined.mapInArrow(run, docs.schema)
