@@ -10,26 +10,69 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from texlode.llm.substring_dedup import remove_later
+from texlode.llm.exact_dedup import drop_copies
+from texlode.llm.near_dedup import drop_near
+from texlode.llm.packing import pack_documents
+from texlode.llm.quality_rules import keep_passing
+from texlode.llm.substring_dedup import without_later
+from texlode.llm.workers import reach
 from texlode.plans.physical import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules on length and repetition."""
+    reach(spark)
+    return keep_passing(docs)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the one with the smallest id."""
+    return drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five words, similarity 0.8), the one with the smallest id."""
+    reach(spark)
+    return drop_near(docs, percent=80)
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes windows of 20 words that occurred earlier; other texts stay as they are."""
-    return remove_later(docs, width=20).select("doc_id", "kept")
+    """Texts without the windows of 20 words that occurred earlier."""
+    reach(spark)
+    return without_later(docs, width=20)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1024 tokens."""
+    reach(spark)
+    return pack_documents(
+        docs,
+        vocabulary=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
+        end_id=0,
+        capacity=1024,
+    )
 
 
-STAGES: list[tuple[str, Stage]] = [("substring_dedup", substring_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("packing", packing),
+]
 
-# The verdict of the rules, near duplicates and packing cannot be had in SQL.
+# SQL cannot express byte-level BPE and packing, so not the rows of the last stage either.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole documents; the result of the last one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = ensure_checkpoint_dir(spark).rstrip("/")
     for name, stage in STAGES:
