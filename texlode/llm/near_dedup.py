@@ -11,8 +11,9 @@ smallest hashes are its sketch.
 3. Every list links its members to its first one.  The sketch of the union
    estimates the similarity of each pair; what passes is compared on whole sets.
 4. Members of a list that are then still in different components are compared
-   with each other: within short lists in pairs, within long ones in blocks.
-   Pairs inside one component need no comparison, since only components count.
+   with each other: within short lists in pairs of sketches, within long ones in
+   blocks of whole sets, which pass on no more links than join components.  Pairs
+   inside one component need no comparison, since only components count.
 5. Components of all links found.
 
 The estimate lets pass what is within ``SIGMAS`` standard errors of the limit,
@@ -48,7 +49,11 @@ PREFIX = 20
 SIGMAS = 5
 # Lists up to this length are paired, longer ones compared in blocks of that many.
 SHORT_LIST = 64
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
+# Hashes of a set that blocks compare; up to so many are the whole set.
+WIDE = 512
+# Values that a block counts at once.
+_COLUMNS = 2048
 # So many ids are broadcast to find their documents; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 # Column of a join; no table has it.
@@ -199,15 +204,20 @@ def _exact(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs that are linked by their whole sets; ``pairs`` is stored, the result too."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Whole sets ``(id, set)`` of the documents named by ``ids``, stored."""
     ids = materialize(ids)
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     found = docs.join(ids, "doc_id", "left_semi").mapInArrow(_whole_sets(size), "id bigint, set binary")
-    # Repeated rows have equal sets or are told apart by nothing: any one will do.
-    sets = materialize(found.dropDuplicates(["id"]))
+    # Repeated rows have equal sets; any of them will do.
+    return materialize(found.dropDuplicates(["id"]))
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs that are linked by their whole sets; ``pairs`` is stored, the result too."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = _sets_of(ids, docs, size)
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("xa"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("xb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "xa", "xb")
@@ -242,31 +252,73 @@ def _lists(reps: DataFrame, percent: int) -> DataFrame:
     return materialize(rarest.join(lists.filter("size > 1"), "v"))
 
 
-def _sizes_fit(na, nb, percent: int):
+def _fit(na, nb, percent: int):
+    """Whether sizes allow a link."""
     return (100 * na >= percent * nb) & (100 * nb >= percent * na)
 
 
-def _cross(percent: int, k: int):
-    """Compares the rows of each block pair: sides 0 and 1, or side 0 with itself."""
+def _shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of common values of each left with each right row."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, number, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = df[number] > 1
+    rows, number = rows[keep], (np.cumsum(df > 1) - 1)[number[keep]]
+    counts = np.zeros((len(left), len(right)), dtype=np.float32)
+    order = np.argsort(number, kind="stable")
+    rows, number = rows[order], number[order]
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, _COLUMNS):
+        i, j = np.searchsorted(number, [first, first + _COLUMNS])
+        dense = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        dense[rows[i:j], number[i:j] - first] = 1
+        counts += dense[left] @ dense[right].T
+    return counts
+
+
+def _cross(percent: int):
+    """Compares the rows of each block pair: sides 0 and 1, or side 0 with itself.
+
+    Of the links found on whole sets, only those that join components of the
+    block pair are passed on; what larger sets leave possible is passed on whole.
+    """
+    limit = percent / 100
+    margin = SIGMAS * sqrt(limit * (1 - limit) / WIDE)
 
-    def compare(ids, comps, ns, sides, sketches):
-        left = np.flatnonzero(sides == 0)
-        right = np.flatnonzero(sides == 1)
-        alone = not len(right)
-        if alone:
+    def compare(held):
+        ids, comps, ns, sides = (np.asarray(held[name], dtype=np.int64) for name in ("id", "comp", "n", "side"))
+        sets = [np.frombuffer(x or b"", dtype=np.uint64) for x in held["wide"]]
+        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+        if not len(right):
             right = left
-        matrix = _matrix(sketches, k)
-        for i in left:
-            other = right[right > i] if alone else right
-            other = other[comps[other] != comps[i]]
-            other = other[(100 * ns[other] >= percent * ns[i]) & (100 * ns[i] >= percent * ns[other])]
-            if not len(other):
-                continue
-            here = np.full(len(other), i)
-            keep = may_link(matrix[here], matrix[other], ns[here], ns[other], percent)
-            other = other[keep]
-            a, b = np.minimum(ids[i], ids[other]), np.maximum(ids[i], ids[other])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        if not len(left):
+            return
+        shared = _shared_counts(sets, left, right)
+        na, nb = ns[left][:, None], ns[right][None, :]
+        other = comps[left][:, None] != comps[right][None, :]
+        most = np.maximum(na, nb)
+        whole = most <= WIDE
+        linked = other & whole & (100 * shared >= percent * (na + nb - shared))
+        maybe = other & ~whole & _fit(na, nb, percent) & (shared >= (limit - margin) * np.minimum(WIDE, most))
+        x, y = np.nonzero(maybe)
+        out = set(zip(ids[left[x]].tolist(), ids[right[y]].tolist(), strict=True))
+        x, y = np.nonzero(linked)
+        # One link of each row to each component, then a forest of components.
+        one = np.unique(np.column_stack((x, comps[right[y]])), axis=0, return_index=True)[1]
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while parent.setdefault(c, c) != c:
+                c = parent[c]
+            return c
+
+        for i, j in zip(left[x[one]].tolist(), right[y[one]].tolist(), strict=True):
+            a, b = root(int(comps[i])), root(int(comps[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.add((int(ids[i]), int(ids[j])))
+        pairs = sorted({(min(p), max(p)) for p in out})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -275,24 +327,22 @@ def _cross(percent: int, k: int):
             for row in range(batch.num_rows):
                 unit = tuple(columns[name][row] for name in ("v", "i", "j"))
                 if held and held["unit"] != unit:
-                    yield from finish(held)
+                    yield from compare(held)
                     held = {}
                 if not held:
-                    held = {"unit": unit, "id": [], "comp": [], "n": [], "side": [], "sketch": []}
-                for name in ("id", "comp", "n", "side", "sketch"):
+                    held = {"unit": unit, "id": [], "comp": [], "n": [], "side": [], "wide": []}
+                for name in ("id", "comp", "n", "side", "wide"):
                     held[name].append(columns[name][row])
         if held:
-            yield from finish(held)
-
-    def finish(held):
-        arrays = (np.asarray(held[name], dtype=np.int64) for name in ("id", "comp", "n", "side"))
-        yield from compare(*arrays, [s or b"" for s in held["sketch"]])
+            yield from compare(held)
 
     return run
 
 
-def _in_blocks(long: DataFrame, reps: DataFrame, percent: int, k: int) -> DataFrame:
+def _in_blocks(long: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Candidate pairs of long lists: members outside the leader's component with all others."""
+    wide = _sets_of(long.select(F.col("id").alias("doc_id")).distinct(), docs, size)
+    wide = wide.select("id", F.expr(f"substring(set, 1, {8 * WIDE})").alias("wide"))
     outside = (F.col("comp") != F.col("leader_comp")).alias("outside")
     marked = long.withColumn("outside", outside)
     sizes = marked.groupBy("v").agg(
@@ -316,11 +366,11 @@ def _in_blocks(long: DataFrame, reps: DataFrame, percent: int, k: int) -> DataFr
         "v", "id", "comp", "n", F.explode(F.sequence(F.lit(0), F.col("ob") - 1)).alias("i"),
         (F.col("p") + F.col("ob")).alias("j"), F.lit(1).alias("side"),
     )
-    units = rows.unionByName(inner).join(reps.select("id", "sketch"), "id")
+    units = rows.unionByName(inner).join(wide, "id")
     return (
         units.repartition("v", "i", "j")
         .sortWithinPartitions("v", "i", "j")
-        .mapInArrow(_cross(percent, k), "a bigint, b bigint")
+        .mapInArrow(_cross(percent), "a bigint, b bigint")
     )
 
 
@@ -340,7 +390,7 @@ def near_groups(docs: DataFrame, percent: int = 80, size: int = 5, k: int = K) -
     reps = features.filter("n > 0").withColumnRenamed("doc_id", "id").join(firsts, "id", "left_semi")
     reps = materialize(reps.select("id", "n", "sketch").dropDuplicates(["id"]))
     lists = _lists(reps, percent)
-    stars = lists.filter((F.col("id") != F.col("leader")) & _sizes_fit(F.col("n"), F.col("leader_n"), percent))
+    stars = lists.filter((F.col("id") != F.col("leader")) & _fit(F.col("n"), F.col("leader_n"), percent))
     stars = stars.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = _linked(materialize(_estimated(stars, reps, percent, k)), rows, size, percent)
     first = components(links)
@@ -356,11 +406,11 @@ def near_groups(docs: DataFrame, percent: int = 80, size: int = 5, k: int = K) -
     short = placed.filter(F.col("size") <= SHORT_LIST)
     other = short.select("v", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("other"))
     pairs = short.join(other, "v").filter(
-        (F.col("id") < F.col("b")) & (F.col("comp") != F.col("other")) & _sizes_fit(F.col("n"), F.col("nb"), percent)
+        (F.col("id") < F.col("b")) & (F.col("comp") != F.col("other")) & _fit(F.col("n"), F.col("nb"), percent)
     )
     pairs = pairs.select(F.col("id").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti")
     more = _estimated(pairs, reps, percent, k)
-    blocks = _in_blocks(placed.filter(F.col("size") > SHORT_LIST), reps, percent, k)
+    blocks = _in_blocks(placed.filter(F.col("size") > SHORT_LIST), rows, size, percent)
     more = materialize(more.unionByName(blocks).distinct())
     links = links.unionByName(_linked(more, rows, size, percent))
     found = components(links)
