@@ -184,9 +184,11 @@ def candidates(docs: DataFrame, spec: Spec) -> DataFrame:
     """
     stored = materialize(spans(docs, spec))
     shared = stored.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
+    # Stored, so that Spark can split the large partitions of hot keys in the joins.
+    shared = materialize(shared)
     kept = materialize(stored.join(shared, "key", "left_semi"))
     merged = kept.groupBy("key", "fp").agg(F.count(F.lit(1)).alias("copies"), F.min(place()).alias("first"))
-    return materialize(kept.join(merged, ["key", "fp"]))
+    return materialize(kept.join(materialize(merged), ["key", "fp"]))
 
 
 def representatives(marked: DataFrame) -> DataFrame:
@@ -315,7 +317,7 @@ def repeated(
             F.max("same").alias("_high"),
             F.min("pos").alias("_first"),
         )
-        sized = pieces.join(sizes.filter("_n > 1"), "bucket")
+        sized = pieces.join(materialize(sizes.filter("_n > 1")), "bucket")
         alike = F.col("_low") == F.col("_high")
         equal = sized.filter(alike)
         if drop_first:
