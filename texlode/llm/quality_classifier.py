@@ -111,7 +111,8 @@ def features(texts: list[bytes], polynomial: Polynomial) -> np.ndarray:
     columns += [np.log(np.asarray(c, dtype=np.float64) + 1e-3) for c in columns[3:]]
     codes = data[:-2].astype(np.uint64) | data[1:-1].astype(np.uint64) << np.uint64(8) | data[2:].astype(np.uint64) << np.uint64(16)
     slot = (mix(codes) % np.uint64(TRIGRAMS)).astype(np.int64)
-    counts = np.bincount(of_byte[:-2] * TRIGRAMS + slot, minlength=n_texts * TRIGRAMS)[: n_texts * TRIGRAMS]
+    inside = of_byte[2:] == of_byte[:-2]
+    counts = np.bincount(of_byte[:-2][inside] * TRIGRAMS + slot[inside], minlength=n_texts * TRIGRAMS)
     trigrams = np.sqrt(counts.reshape(n_texts, TRIGRAMS) / np.maximum(sizes, 1)[:, None])
     return np.concatenate((np.column_stack(columns), trigrams), axis=1).astype(np.float32)
 
