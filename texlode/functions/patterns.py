@@ -141,5 +141,4 @@ GROUPED_DEFINITION = (
     r"(?<!\\)\{\s*(\\(?:(?:re)?newcommand\*?|g?def|DeclareMathOperator\*?))(?<!\\)\s*\}"
 )
 IS_UNDEFINED = r"\\isundefined\s*\{\s*\\[" + MACRO_LETTERS + r"]*\s*\}"
-MACRO_TOKEN = r"\\(?:[" + MACRO_LETTERS + r"]+|[^" + MACRO_LETTERS + r"])"
 MACRO_NAME_END = _no_letter

@@ -141,18 +141,26 @@ def extend_dictionary(classified: DataFrame, prior: DataFrame) -> DataFrame:
     return kept.unionByName(added)
 
 
-def assign_ids(classified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -> DataFrame:
-    """Each equation with its id: by flat key first, then multi-line by raw text."""
+def assign_ids(
+    classified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame, complete: bool = True
+) -> DataFrame:
+    """Each equation with its id: by flat key first, then multi-line by raw text.
+
+    ``complete``: the dictionaries come from these equations, and their counts hold.
+    """
+    hits = "n_occurrences" if complete else None
+    eq_dict, meq_dict = (d if complete else d.drop("n_occurrences") for d in (eq_dict, meq_dict))
+    counted = ["n_occurrences"] if complete else []
     facts = classified.withColumnRenamed("flat_eq", "eq_key")
     by_key = lookup(
-        facts, eq_dict.select("eq_key", "eqid", "n_occurrences"), "eq_key", "n_occurrences"
+        facts, eq_dict.select("eq_key", "eqid", *counted), "eq_key", hits
     )
     open_text = F.when(F.col("eqid").isNull(), F.col("text"))
     by_text = lookup(
         by_key.withColumn("eq_text", open_text),
-        meq_dict.select("eq_text", F.col("eqid").alias("meqid"), "n_occurrences"),
+        meq_dict.select("eq_text", F.col("eqid").alias("meqid"), *counted),
         "eq_text",
-        "n_occurrences",
+        hits,
     )
     return by_text.withColumn("eqid", F.coalesce("eqid", "meqid")).drop("eq_text", "meqid")
 
@@ -215,7 +223,9 @@ def unmatched_equations(
     classified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame
 ) -> DataFrame:
     """Equations without an id; ``Multiline`` when any layout stands in them."""
-    open_rows = assign_ids(classified, eq_dict, meq_dict).filter(F.col("eqid").isNull())
+    open_rows = assign_ids(classified, eq_dict, meq_dict, complete=False).filter(
+        F.col("eqid").isNull()
+    )
     return open_rows.select(
         *DOCUMENT_KEY,
         "eq_no",

@@ -156,32 +156,20 @@ def first_mathml(identified: DataFrame) -> DataFrame:
     )
 
 
-def equation_documents(
-    identified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame, counts_per_line: int = 100_000
-) -> DataFrame:
-    """Lines of the four-column table: id, masked TeX, masked quoted MathML, ``file:count,..``.
+def equation_documents(identified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -> DataFrame:
+    """Lines of the table: id, masked TeX, masked quoted MathML, ``file:count,..``, folder.
 
-    An equation that stands in very many documents gets several lines of at
-    most ``counts_per_line`` documents, so that no row grows with the corpus.
+    Every equation has one line for each corpus folder it stands in, so that no
+    line grows with the corpus; one that stands nowhere has an empty folder.
     """
     texts = eq_dict.select("eqid", "eq_text").unionByName(meq_dict.select("eqid", "eq_text"))
-    counted = document_counts(identified)
-    per_id = counted.groupBy("eqid").agg(F.count(F.lit(1)).alias("n_files"))
-    chunks = F.ceil(F.col("n_files") / F.lit(counts_per_line))
-    wide = per_id.filter(F.col("n_files") > counts_per_line).select("eqid", chunks.alias("chunks"))
-    chunked = counted.join(wide, "eqid", "left").withColumn(
-        "chunk",
-        F.when(F.col("chunks").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("file"), F.col("chunks")).cast("int")
-        ),
-    )
-    lists = chunked.groupBy("eqid", "chunk").agg(
+    counted = document_counts(identified).withColumn("dir", F.substring_index("file", "/", 1))
+    lists = counted.groupBy("eqid", "dir").agg(
         F.array_sort(F.collect_list(F.struct(F.col("file").alias("key"), F.col("n").alias("value")))).alias("items")
     )
     lines = texts.join(first_mathml(identified), "eqid", "left").join(lists, "eqid", "left")
     return lines.select(
         "eqid",
-        F.coalesce("chunk", F.lit(0)).alias("chunk"),
         formats.mask("eq_text").alias("tex"),
         formats.mask(F.concat(F.lit('"'), F.coalesce("mathml", F.lit("")), F.lit('"'))).alias("mathml"),
         F.coalesce(
@@ -191,6 +179,7 @@ def equation_documents(
             ),
             F.lit(""),
         ).alias("documents"),
+        F.coalesce("dir", F.lit("")).alias("dir"),
     )
 
 

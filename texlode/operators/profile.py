@@ -25,10 +25,6 @@ def top_packages(docs: DataFrame, limit: int = P.TOP_PACKAGES) -> DataFrame:
     return package_frequency(docs).orderBy(F.desc("n"), "package").limit(limit)
 
 
-def environment_counts(classified: DataFrame) -> DataFrame:
-    return classified.groupBy("env").agg(F.count(F.lit(1)).alias("n"))
-
-
 def legacy_counts(docs: DataFrame) -> DataFrame:
     return compute_once(docs, "n_legacy", cleaning.legacy_equation_count("text")).select(
         *DOCUMENT_KEY, "text", "n_legacy"

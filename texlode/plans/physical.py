@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,10 +84,44 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     folder = ensure_checkpoint_dir(df.sparkSession)
     path = f"{folder.rstrip('/')}/texlode-{uuid.uuid4().hex}"
+    _written.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Tables that ``materialize`` has written, until they are dropped.
+_written: list[tuple[SparkSession, str]] = []
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop_path(spark, path)
+    return files.exists(place)
+
+
+def drop_materialized() -> None:
+    """Deletes the tables that ``materialize`` has written; frames that read them are of no more use.
+
+    A job calls it when its results are written; at the end of the driver it is
+    called for what is left.
+    """
+    while _written:
+        spark, path = _written.pop()
+        if spark.sparkContext._jsc is None:
+            continue
+        # The JVM may be gone at the end of the driver.
+        with contextlib.suppress(Py4JError, ConnectionError):
+            files, place = _hadoop_path(spark, path)
+            files.delete(place, True)
+
+
+atexit.register(drop_materialized)
+
+
 def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Numbers rows ``0, 1, 2, ...`` in the total order of ``order``.
 
@@ -109,30 +146,48 @@ def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
     )
 
 
+def hot_limit(spark: SparkSession) -> int:
+    """Most hot keys there can be: a few per shuffle partition, so that a colder key never fills one."""
+    return max(MAX_HOT_KEYS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hot_keys(counts: DataFrame, key: str, hits: str) -> DataFrame:
-    """Digests of the keys that hold at least one in ``MAX_HOT_KEYS`` of all hits."""
+    """Digests of the keys that hold at least one in ``hot_limit`` of all hits."""
     total = counts.agg(F.sum(hits)).scalar()
-    return counts.filter(F.col(hits) * MAX_HOT_KEYS >= total).select(
+    return counts.filter(F.col(hits) * hot_limit(counts.sparkSession) >= total).select(
         F.sha2(F.col(key), 256).alias("_digest")
     )
 
 
-def lookup(facts: DataFrame, dictionary: DataFrame, key: str, hits: str) -> DataFrame:
+def lookup(facts: DataFrame, dictionary: DataFrame, key: str, hits: str | None = None) -> DataFrame:
     """Left join of facts to a dictionary that has one row per key and short values.
 
     ``hits`` is the dictionary's count of uses of each key, at least its number
-    of facts.  Hot keys, at most ``MAX_HOT_KEYS`` by counting, are joined by
+    of facts; without it, facts are counted, so that keys the dictionary lacks
+    are known as hot, too.  Hot keys, at most ``hot_limit`` by counting, are joined by
     broadcast of their digest and values.  Their facts, and facts without a key,
     then carry a join key of their own that no dictionary row has, so that the
     shuffle join of all other keys spreads them evenly.
     """
     values = [c for c in dictionary.columns if c not in (key, hits)]
     digest = F.sha2(F.col(key), 256)
-    hot = (
-        dictionary.withColumn("_digest", digest)
-        .join(F.broadcast(hot_keys(dictionary, key, hits)), "_digest", "left_semi")
-        .select("_digest", F.struct(*values).alias("_hot"))
-    )
+    if hits is None:
+        counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_hits"))
+        counts, hits = materialize(counts), "_hits"
+        if counts.isEmpty():
+            hits = None
+    else:
+        counts = dictionary
+    empty = F.struct(*[F.lit(None).cast(dictionary.schema[value].dataType).alias(value) for value in values])
+    if hits is None:
+        hot = facts.limit(0).select(digest.alias("_digest"), empty.alias("_hot"))
+    else:
+        # A hot key that the dictionary lacks has nulls for values.
+        hot = (
+            hot_keys(counts, key, hits)
+            .join(dictionary.select(digest.alias("_digest"), F.struct(*values).alias("_found")), "_digest", "left")
+            .select("_digest", F.coalesce("_found", empty).alias("_hot"))
+        )
     tagged = (
         facts.withColumn("_digest", digest)
         .join(F.broadcast(hot), "_digest", "left")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from texlode.functions import cleaning, equations, formats, macros
+from texlode.functions.patterns import MAX_RENDERED_LENGTH
 from texlode.operators import dictionary as D
 from texlode.operators import extract as X
 from texlode.operators import macros as M
@@ -335,9 +336,9 @@ def xhtml_equations(c):
 
 @query("tex_xhtml_join")
 def tex_xhtml_join(c):
-    return P.join_xhtml(c.tex, c.xhtml).select(
-        "file", F.col("xhtml").isNotNull().alias("converted"),
-        F.coalesce(F.length("xhtml"), F.lit(0)).alias("xhtml_chars"),
+    sizes = c.xhtml.select("dir", "doc_name", F.length("xhtml").alias("chars"))
+    return P.join_xhtml(c.tex.select("dir", "doc_name", "file"), sizes).select(
+        "file", F.col("chars").isNotNull().alias("converted"), F.coalesce("chars", F.lit(0)).alias("xhtml_chars")
     )
 
 
@@ -429,7 +430,7 @@ def mse(c):
 @query("mse_too_long")
 def mse_too_long(c):
     found = S.most_significant(c.tex).select("file", F.length("text").alias("n_chars"))
-    return found.filter(F.col("n_chars") > 1500)
+    return found.filter(F.col("n_chars") > MAX_RENDERED_LENGTH)
 
 
 @query("mse_bibcode")
@@ -646,3 +647,13 @@ def stream_eq_keys(c):
     docs, folder = _stream(c)
     incremental.stream_dictionary(docs, f"{folder}/out", f"{folder}/progress").awaitTermination()
     return incremental.read_dictionary(c.spark, f"{folder}/out").select("eq_key")
+
+
+@query("stream_eq_ids")
+def stream_eq_ids(c):
+    """Numbers of the dictionary that grew batch by batch: each once, none left out."""
+    docs, folder = _stream(c)
+    incremental.stream_dictionary(docs, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return incremental.read_dictionary(c.spark, f"{folder}/out").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("eqid").alias("n_ids"), F.max("eq_number").alias("last")
+    )

@@ -497,13 +497,13 @@ oracle(
     "eq_doc_tsv",
     _IDENTIFIED + [
         cte("per_file", "SELECT eqid, file, count(*) AS n FROM identified GROUP BY eqid, file"),
-        cte("counts", "SELECT eqid, string_agg(file || ':' || n, ',' ORDER BY file) AS documents FROM per_file GROUP BY eqid"),
+        cte("counts", "SELECT eqid, split_part(file, '/', 1) AS dir, string_agg(file || ':' || n, ',' ORDER BY file) AS documents FROM per_file GROUP BY ALL"),
         cte("firsts", "SELECT eqid, arg_min(mathml, (file, eq_no)) AS mathml FROM identified WHERE mathml <> '' GROUP BY eqid"),
         cte("texts", "SELECT eqid, eq_text FROM eq_dict UNION ALL SELECT eqid, eq_text FROM meq_dict"),
     ],
     "SELECT eqid || chr(9) || " + _MASKED.format("eq_text") + " || chr(9) || "
     + _MASKED.format("'\"' || coalesce(mathml, '') || '\"'")
-    + " || chr(9) || coalesce(documents, '') AS value FROM texts LEFT JOIN firsts USING (eqid) LEFT JOIN counts USING (eqid)",
+    + " || chr(9) || coalesce(documents, '') || chr(9) || coalesce(dir, '') AS value FROM texts LEFT JOIN firsts USING (eqid) LEFT JOIN counts USING (eqid)",
 )
 oracle(
     "coverage",
@@ -774,3 +774,7 @@ oracle(
 
 oracle("stream_packages", [TEX, PACKAGES], "SELECT package, count(*) AS n FROM packages GROUP BY package")
 oracle("stream_eq_keys", _DICT, "SELECT eq_key FROM eq_dict")
+oracle(
+    "stream_eq_ids", _DICT,
+    "SELECT count(*) AS n, count(*) AS n_ids, count(*) - 1 AS last FROM eq_dict",
+)

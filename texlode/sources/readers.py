@@ -63,8 +63,8 @@ def parse_submissions(files: DataFrame, root: str) -> DataFrame:
 
 
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:
-    """Submission folders below ``path``, one per paper, with all their files."""
-    return parse_submissions(_files(spark, path, None, recursive=True), path)
+    """Submission folders below ``path``, one per paper, with their TeX files."""
+    return parse_submissions(_files(spark, path, "*.[tT][eE][xX]", recursive=True), path)
 
 
 def parse_xhtml(files: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from texlode.functions import formats
-from texlode.functions.columns import col
 
 
 def equation_lines(eq_dict: DataFrame, meq_dict: DataFrame | None = None) -> DataFrame:
@@ -25,14 +24,7 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 
 def equation_document_lines(rows: DataFrame) -> DataFrame:
-    return rows.select(F.concat_ws("\t", "eqid", "tex", "mathml", "documents").alias("value"))
-
-
-def write_equation_objects(objects: DataFrame, path: str) -> None:
-    """Equation objects as JSON lines, one folder per corpus folder."""
-    objects.withColumn("dir", F.substring_index("file", "/", 1)).write.mode("overwrite").partitionBy(
-        "dir"
-    ).json(path)
+    return rows.select(F.concat_ws("\t", "eqid", "tex", "mathml", "documents", "dir").alias("value"))
 
 
 def write_texts(documents: DataFrame, path: str) -> None:
@@ -46,7 +38,3 @@ def append_rejects(rejects: DataFrame, path: str) -> None:
 
 def write_categories(categories: DataFrame, path: str) -> None:
     categories.select("file", "category").write.mode("overwrite").csv(path, sep=" ")
-
-
-def reject_line(file: str = "file", reason: str = "reason"):
-    return F.concat(col(file), F.lit(": "), col(reason))

@@ -7,7 +7,6 @@ package or environment.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from texlode.functions import formats
 from texlode.operators.dictionary import extend_dictionary
 from texlode.operators.extract import classified_equations
+from texlode.plans.physical import path_exists
 
 DOCUMENT_SCHEMA = "dir string, file string, doc_name string, text string"
 DICTIONARY_SCHEMA = "eqid string, eq_key string, eq_text string, eq_number bigint, batch bigint"
@@ -31,10 +31,9 @@ def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 1000
 
 def read_dictionary(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """Dictionary table; ``before`` leaves out batches from that one on."""
-    try:
-        table = spark.read.schema(DICTIONARY_SCHEMA).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], DICTIONARY_SCHEMA)
+    table = spark.read.schema(DICTIONARY_SCHEMA).parquet(path)
     return table if before is None else table.filter(F.col("batch") < before)
 
 
