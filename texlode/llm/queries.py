@@ -11,7 +11,15 @@ from texlode.llm.exact_dedup import exact_groups
 from texlode.llm.near_dedup import near_groups
 from texlode.llm.packing import pack_documents
 from texlode.llm.quality_classifier import quality_scores
-from texlode.llm.quality_rules import repetition
+from texlode.llm.quality_rules import (
+    COVERED_PERCENT,
+    LEAST_WORDS,
+    LONGEST_WORDS,
+    REPEAT_PERCENT,
+    REPEAT_WORDS,
+    WINDOW_WORDS,
+    repetition,
+)
 from texlode.llm.sharding import assign_shards
 from texlode.llm.substring_dedup import remove_later
 from texlode.llm.suffix_dedup import remove_repeats
@@ -25,6 +33,7 @@ ORACLE: dict[str, str] = {}
 PACK_TOKENIZER = "byte_bpe_50k.json"
 PACK_RANKS = "byte_bpe_50k.tiktoken"
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
+SHARDS, SLOTS = 64, 6553
 CONTEXT_LIMITS = [512, 1024, 2048, 4096, 8192, 16384, 32768, 65536, 131072]
 
 
@@ -56,8 +65,31 @@ def op2_substring_dedup(spark, folder):
 @query
 def op3_sharding(spark, folder):
     """Slot and shard of each document among 64 shards."""
-    shards = [f"shard-{i:04d}" for i in range(64)]
-    return assign_shards(documents(spark, folder), shards, slots=6553)
+    shards = [f"shard-{i:04d}" for i in range(SHARDS)]
+    return assign_shards(documents(spark, folder), shards, slots=SLOTS)
+
+
+# One turn per step: the first free slot (-1) in the order of the shard whose turn it is.
+ORACLE["op3_sharding"] = f"""
+WITH RECURSIVE shards AS (
+  SELECT i,
+         ('0x' || substr(md5('offset shard-' || lpad(i::VARCHAR, 4, '0')), 1, 15))::BIGINT % {SLOTS} AS o,
+         ('0x' || substr(md5('skip shard-' || lpad(i::VARCHAR, 4, '0')), 1, 15))::BIGINT % {SLOTS - 1} + 1 AS s
+  FROM range({SHARDS}) r(i)),
+fill(turn, owners) AS (
+  SELECT 0::BIGINT, list_resize([]::TINYINT[], {SLOTS}, -1::TINYINT)
+  UNION ALL
+  SELECT turn + 1, owners[:place] || [(turn % {SHARDS})::TINYINT] || owners[place + 2:]
+  FROM (
+    SELECT turn, owners, (o + (list_position(list_select(owners, orders), -1::TINYINT) - 1) * s) % {SLOTS} AS place
+    FROM (
+      SELECT turn, owners, o, s, list_transform(range({SLOTS}), lambda j: (o + j * s) % {SLOTS} + 1) AS orders
+      FROM fill JOIN shards ON i = turn % {SHARDS} WHERE turn < {SLOTS}))),
+full_table AS (SELECT unnest(owners)::BIGINT AS shard, generate_subscripts(owners, 1) - 1 AS slot FROM fill WHERE turn = {SLOTS}),
+placed AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {SLOTS} AS slot FROM documents)
+SELECT doc_id, slot, shard FROM placed JOIN full_table USING (slot)
+"""
 
 
 @query
@@ -66,6 +98,49 @@ def op4_quality_rules(spark, folder):
     return repetition(documents(spark, folder)).drop("covered_words", "longest_repeat")
 
 
+# A repeat of at least n words is a window of n words that occurs twice.
+ORACLE["op4_quality_rules"] = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+split_texts AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM texts),
+tokens AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split_texts),
+grams AS (
+  SELECT doc_id, n, i, word,
+         string_agg(word, ' ') OVER (here ROWS BETWEEN CURRENT ROW AND {REPEAT_WORDS - 1} FOLLOWING) AS g_repeat,
+         string_agg(word, ' ') OVER (here ROWS BETWEEN CURRENT ROW AND {WINDOW_WORDS - 1} FOLLOWING) AS g_window,
+         string_agg(word, ' ') OVER (here ROWS BETWEEN CURRENT ROW AND {LONGEST_WORDS} FOLLOWING) AS g_long
+  FROM tokens WINDOW here AS (PARTITION BY doc_id ORDER BY i)),
+flags AS (
+  SELECT doc_id, i, word,
+         i + {REPEAT_WORDS - 1} <= n AND count(*) OVER (PARTITION BY doc_id, i + {REPEAT_WORDS - 1} <= n, g_repeat) > 1 AS f_repeat,
+         i + {WINDOW_WORDS - 1} <= n AND count(*) OVER (PARTITION BY doc_id, i + {WINDOW_WORDS - 1} <= n, g_window) > 1 AS f_window,
+         i + {LONGEST_WORDS} <= n AND count(*) OVER (PARTITION BY doc_id, i + {LONGEST_WORDS} <= n, g_long) > 1 AS f_long
+  FROM grams),
+covered AS (
+  SELECT doc_id, word, f_long,
+         bool_or(f_repeat) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {REPEAT_WORDS - 1} PRECEDING AND CURRENT ROW) AS c_repeat,
+         bool_or(f_window) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {WINDOW_WORDS - 1} PRECEDING AND CURRENT ROW) AS c_window
+  FROM flags),
+sums AS (
+  SELECT doc_id, sum(length(word))::BIGINT AS chars, count(*) FILTER (c_repeat) AS repeat_words,
+         count(*) FILTER (c_window) AS window_words, bool_or(f_long) AS long_repeat
+  FROM covered GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(chars, 0) AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(window_words, 0) AS n_repeat_words,
+         coalesce(repeat_words, 0) AS repeat_words, coalesce(long_repeat, false) AS long_repeat
+  FROM split_texts d LEFT JOIN sums ON d.doc_id = sums.doc_id),
+judged AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * repeat_words <= {COVERED_PERCENT} * n_words AND NOT long_repeat AS kept
+FROM judged
+"""
+
+
 @query
 def op5_quality_classifier(spark, folder):
     """Quality score of each document, learned from trusted positives and unlabelled text."""
