@@ -62,6 +62,25 @@ def op2_substring_dedup(spark, folder):
     return remove_later(documents(spark, folder), width=20).drop("kept", "tag")
 
 
+ORACLE["op2_substring_dedup"] = """
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+tokens AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM texts),
+grams AS (
+  SELECT *, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS g
+  FROM tokens),
+flags AS (
+  SELECT *, i + 19 <= n AND row_number() OVER (PARTITION BY i + 19 <= n, g ORDER BY doc_id, i) > 1 AS later FROM grams),
+covered AS (
+  SELECT *, bool_or(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM flags),
+rest AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM covered GROUP BY doc_id)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN rest ON t.doc_id = rest.doc_id
+"""
+
+
 @query
 def op3_sharding(spark, folder):
     """Slot and shard of each document among 64 shards."""
@@ -183,6 +202,35 @@ def op8_minhash_near_dedup(spark, folder):
     return near_groups(documents(spark, folder), percent=85)
 
 
+ORACLE["op8_minhash_near_dedup"] = """
+WITH RECURSIVE texts AS (
+  SELECT doc_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+tokens AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM texts),
+grams AS (
+  SELECT doc_id, n, i, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS g
+  FROM tokens),
+shingles AS (SELECT DISTINCT doc_id, g FROM grams WHERE i + 4 <= n OR (n < 5 AND i = 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * m >= 85 * (x.n + y.n - m)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT a, b FROM both_ways UNION SELECT doc_id, b FROM reach JOIN both_ways ON a = other),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n, 0) AS n_shingles, least(t.doc_id, coalesce(other, t.doc_id)) AS component_id,
+       t.doc_id <= coalesce(other, t.doc_id) AS kept
+FROM texts t LEFT JOIN sizes ON t.doc_id = sizes.doc_id LEFT JOIN least ON t.doc_id = least.doc_id
+"""
+
+
 @query
 def op9_byte_bpe(spark, folder):
     """Token ids of each document and the bytes decoded from them, as digests."""
