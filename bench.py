@@ -10,6 +10,9 @@ import json
 import os
 import time
 
+from pyspark.sql import functions as F
+
+from texlode.plans.physical import drop_materialized
 from texlode.queries.library import QUERIES
 from texlode.queries.tables import Corpus
 from texlode.session import local_session
@@ -58,7 +61,9 @@ def main() -> None:
         corpus.store(name)
     prepare = time.perf_counter() - start
     stored = dict(corpus.stored)
+    n_cores = spark.sparkContext.defaultParallelism
     n_docs = stored["tex"].count()
+    megabytes = stored["submissions"].agg(F.sum(F.length("text"))).first()[0] / 1e6
     seconds = {}
     for name in HEADLINE:
         # Each query gets the stored corpus, but no result of another query.
@@ -76,9 +81,13 @@ def main() -> None:
                 "documents": n_docs,
                 "equation_objects_docs_per_sec": round(n_docs / seconds["equation_objects"], 1),
                 "expand_macros_docs_per_sec": round(n_docs / seconds["expand_macros"], 1),
+                "expand_macros_mb": round(megabytes, 1),
+                "expand_macros_mb_per_sec": round(megabytes / seconds["expand_macros"], 3),
+                "expand_macros_mb_per_sec_and_core": round(megabytes / seconds["expand_macros"] / n_cores, 3),
             }
         )
     )
+    drop_materialized()
     spark.stop()
 
 
