@@ -128,6 +128,36 @@ def inline_array(clean: Column | str = "clean") -> Column:
     return F.transform(single, cleaning.unpark_dollars)
 
 
+def inline_segments(docs: DataFrame) -> DataFrame:
+    """Text and inline equations of the body interleaved: ``ord``, ``kind``, ``text``.
+
+    Inline math that spans lines is no equation and falls out.
+    """
+    cut = with_clean_body(docs).select(
+        *DOCUMENT_KEY,
+        F.split("clean", P.INLINE_RUN, -1).alias("parts"),
+        F.transform(find_all(F.col("clean"), P.INLINE_RUN, 1), lambda run: find_all(run, P.INLINE_ONE)).alias("runs"),
+    )
+
+    def segment(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), cleaning.unpark_dollars(text).alias("text"))
+
+    pieces = F.flatten(
+        F.transform(
+            "parts",
+            lambda part, n: F.concat(
+                F.array(segment("text", part)),
+                F.coalesce(F.transform(F.get("runs", n), lambda one: segment("equation", one)), F.array().cast(_SEGMENTS)),
+            ),
+        )
+    )
+    rows = explode_rows(cut.select(*DOCUMENT_KEY, pieces.alias("pieces")), "pieces", "ord", "piece", DOCUMENT_KEY)
+    return rows.select(*DOCUMENT_KEY, "ord", "piece.*")
+
+
+_SEGMENTS = "array<struct<kind:string,text:string>>"
+
+
 def inline_equations(docs: DataFrame) -> DataFrame:
     """One row per inline equation ``$..$``: key, ``eq_no`` from 0, ``text``."""
     found = with_clean_body(docs).select(*DOCUMENT_KEY, inline_array().alias("eqs"))

@@ -183,6 +183,11 @@ def doc_segments(c):
     return X.segments(c.tex).select("file", "ord", "kind", "text")
 
 
+@query("inline_segments")
+def inline_segments(c):
+    return X.inline_segments(c.tex).select("file", "ord", "kind", "text")
+
+
 @query("eq_context")
 def eq_context(c):
     return X.equation_context(c.tex).select("file", "eq_no", "text", "prevtext", "nexttext")
@@ -312,6 +317,32 @@ def write_eq_tsv(c):
     return writers.equation_lines(*_dictionaries(c))
 
 
+def _place(c: Corpus) -> str:
+    """A new folder below the checkpoint folder, for what a query writes and reads again."""
+    return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/texlode-{uuid.uuid4().hex}"
+
+
+@query("write_inline_tsv")
+def write_inline_tsv(c):
+    path = _place(c)
+    writers.write_lines(writers.equation_lines(D.inline_dictionary(X.inline_equations(c.tex))), path)
+    return c.spark.read.text(path)
+
+
+@query("write_texts")
+def write_texts(c):
+    path = _place(c)
+    writers.write_texts(c.tex, path)
+    return c.spark.read.parquet(path).select("dir", "file", "doc_name", "text")
+
+
+@query("write_categories")
+def write_categories(c):
+    path = _place(c)
+    writers.write_categories(readers.parse_category_lines(c.category_lines), path)
+    return readers.parse_category_lines(c.spark.read.text(path))
+
+
 @query("read_eq_tsv")
 def read_eq_tsv(c):
     rows = readers.parse_equation_lines(writers.equation_lines(*_dictionaries(c)))
@@ -615,6 +646,11 @@ def expand_macros(c):
     return M.expand_documents(_expanded(c)).select("folder", "status", "text")
 
 
+@query("quarantine_submissions")
+def quarantine_submissions(c):
+    return M.quarantined_submissions(_expanded(c), M.expand_documents(_expanded(c)))
+
+
 @query("macro_outcomes")
 def macro_outcomes(c):
     files = c.store("submissions")

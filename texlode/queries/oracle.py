@@ -458,6 +458,32 @@ oracle(
     "SELECT eqid || chr(9) || " + _MASKED.format("eq_text") + " AS value FROM eq_dict UNION ALL "
     "SELECT eqid || chr(9) || sub_ids || chr(9) || " + _MASKED.format("eq_text") + " FROM meq_dict",
 )
+oracle(
+    "write_inline_tsv", _INLINE + [INLINE_DICT],
+    "SELECT eqid || chr(9) || " + _MASKED.format("eq_text") + " AS value FROM inline_dict",
+)
+oracle("write_texts", [TEX], "SELECT dir, file, doc_name, text FROM tex")
+oracle("write_categories", [CATEGORIES], "SELECT file, category FROM categories")
+oracle(
+    "inline_segments",
+    _INLINE + [
+        # Between two marks: display math, a third mark, inline math; one of both is empty.
+        cte("marked",
+            rf"SELECT file, regexp_replace(c, '(?s)(\$\$.*?\$\$)|(\$[^$]+\$)', "
+            r"chr(64985) || '\1' || chr(64986) || '\2' || chr(64985), 'g') AS m FROM clean"),
+        cte("bits", "SELECT file, string_split(m, chr(64985)) AS ps FROM marked"),
+        cte("places",
+            "SELECT file, n, n % 2 = 0 AND starts_with(ps[n], chr(64986)) AS is_inline, replace(ps[n], chr(64986), '') AS p "
+            "FROM (SELECT file, ps, unnest(range(1, len(ps) + 1)) AS n FROM bits)"),
+        cte("ranked",
+            "SELECT *, is_inline AND NOT contains(p, chr(10)) AS single, "
+            "sum(is_inline::INT) OVER (PARTITION BY file ORDER BY n) AS k, "
+            "sum((is_inline AND NOT contains(p, chr(10)))::INT) OVER (PARTITION BY file ORDER BY n) AS s FROM places"),
+    ],
+    "SELECT file, CAST(k + s AS BIGINT) AS ord, 'text' AS kind, " + lifted("string_agg(p, '' ORDER BY n)")
+    + " AS text FROM ranked WHERE NOT is_inline GROUP BY file, k, s UNION ALL "
+    "SELECT file, CAST(k + s - 1 AS BIGINT), 'equation', " + lifted("p") + " FROM ranked WHERE single",
+)
 oracle(
     "read_eq_tsv", _MEQ,
     "SELECT eqid, '' AS sub_ids, eq_text FROM eq_dict UNION ALL SELECT eqid, sub_ids, eq_text FROM meq_dict",
@@ -766,6 +792,10 @@ EXPANDED = cte(
     + r" END, '\n{3,}', chr(10) || chr(10), 'g') AS text FROM bodies_only",
 )
 oracle("expand_macros", [SUBMISSIONS, INPUTS, EXPANDED], "SELECT folder, status, text FROM expanded")
+oracle(
+    "quarantine_submissions", [SUBMISSIONS, INPUTS, EXPANDED],
+    "SELECT folder, e.status, i.text FROM inputs i JOIN expanded e USING (folder) WHERE e.status <> 'complete'",
+)
 oracle(
     "macro_outcomes", [SUBMISSIONS, INPUTS, EXPANDED],
     "SELECT status, count(*) AS n FROM (SELECT status FROM expanded UNION ALL SELECT 'no main file' FROM "
