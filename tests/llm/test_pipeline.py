@@ -1,7 +1,7 @@
 """Stages of the pipeline, each against a plain version on its own input."""
 
 import corpus_pipeline
-from test_dedup import plain_near, plain_windows, sha
+from .test_dedup import plain_near, plain_windows, sha
 
 from texlode.llm.quality_rules import repetition
 
