@@ -311,26 +311,22 @@ def repeated(
     found = []
     while True:
         pieces = materialize(pieces)
-        sizes = pieces.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("same").alias("_low"),
-            F.max("same").alias("_high"),
-            F.min("pos").alias("_first"),
+        # Equal strings of a bucket are settled here; the first of them goes on.
+        merged = materialize(
+            pieces.groupBy("bucket", "same").agg(F.count(F.lit(1)).alias("_m"), F.min("pos").alias("_first"))
         )
-        sized = pieces.join(materialize(sizes.filter("_n > 1")), "bucket")
-        alike = F.col("_low") == F.col("_high")
-        equal = sized.filter(alike)
-        if drop_first:
-            equal = equal.filter("pos > _first")
-        found.append(equal.select("key", "fp", "j", "n"))
-        small = sized.filter(~alike & (F.col("_n") <= BUCKET_STRINGS))
+        marked = pieces.join(merged, ["bucket", "same"])
+        found.append(marked.filter("pos > _first" if drop_first else "_m > 1").select("key", "fp", "j", "n"))
+        sizes = materialize(merged.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
+        sized = marked.filter("pos = _first").join(sizes, "bucket")
+        small = sized.filter(F.col("_n") <= BUCKET_STRINGS)
         found.append(
             small.select("bucket", "key", "fp", "pos", "j", "n", "a", "body")
             .repartition("bucket")
             .sortWithinPartitions("bucket")
             .mapInArrow(compare, FOUND)
         )
-        large = sized.filter(~alike & (F.col("_n") > BUCKET_STRINGS)).select(*pieces.columns)
+        large = sized.filter(F.col("_n") > BUCKET_STRINGS).select(*pieces.columns)
         split = materialize(large.mapInArrow(_halves(spec), PIECE))
         if split.isEmpty():
             break
