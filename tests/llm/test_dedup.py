@@ -166,6 +166,31 @@ def test_op8_long_lists(as_frame, docs_list, monkeypatch):
     assert by_text(got) == by_text(plain_near(docs_list, 85))
 
 
+def test_op8_finds_long_contained_pairs_at_the_limit(as_frame):
+    """Of 400 isolated pairs, one text is the other with a fifth cut off: none may be lost."""
+    from texlode.llm.near_dedup import near_groups
+
+    docs = []
+    for i in range(400):
+        words = [f"{i}w{j}" for j in range(1004)]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:804]))]
+    rows = near_groups(as_frame(docs), percent=80).collect()
+    assert len(rows) == 800
+    assert [r["doc_id"] for r in rows if r["component_id"] != r["doc_id"] // 2 * 2] == []
+
+
+def test_sketches_lose_less_than_one_in_a_million():
+    from math import comb
+
+    from texlode.llm.near_dedup import WIDE, K, most_differing
+
+    for percent in (50, 80, 85, 95):
+        for k in (K, WIDE):
+            most, differ = most_differing(percent, k), 1 - percent / 100
+            lost = sum(comb(k, j) * differ**j * (1 - differ) ** (k - j) for j in range(most + 1, k + 1))
+            assert lost < 5e-7
+
+
 @pytest.mark.parametrize("name", ["op1_suffix_array_dedup", "op2_substring_dedup", "op7_exact_dedup", "op8_minhash_near_dedup"])
 def test_empty_table(spark, empty_folder, name):
     assert QUERIES[name](spark, empty_folder).collect() == []

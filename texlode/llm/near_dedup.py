@@ -16,10 +16,12 @@ smallest hashes are its sketch.
    inside one component need no comparison, since only components count.
 5. Components of all links found.
 
-The estimate lets pass what is within ``SIGMAS`` standard errors of the limit,
-and the prefix allows as many differing values, so a linked pair is lost with a
-probability below one in a million; short documents' sketches are their whole
-sets, and nothing is lost.
+Of a linked pair's union sketch, the number of values that only one side has is
+at most binomial.  Estimate and prefix allow as many of them as a pair at the
+limit exceeds with a probability below ``MISS`` (``most_differing``), whether one
+document contains the other or not; blocks allow the same for their longer
+sketches.  So a linked pair is lost with a probability below one in a million;
+short documents' sketches are their whole sets, and nothing is lost.
 
 Defined results: a document without words is linked with nothing, not even with
 its like; one with fewer words than a shingle has its whole sequence as its only
@@ -31,7 +33,7 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, sqrt
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +46,8 @@ from texlode.llm.components import components
 from texlode.plans.physical import materialize
 
 K = 64
-# Sketch values of a document that may be missing in its partner's, plus one.
-PREFIX = 20
-SIGMAS = 5
+# Probability of losing a linked pair by its sketches; blocks may add as much.
+MISS = 5e-7
 # Lists up to this length are paired, longer ones compared in blocks of that many.
 SHORT_LIST = 64
 BLOCK_ROWS = 1024
@@ -132,6 +133,18 @@ def _matrix(sketches: list[bytes], k: int) -> np.ndarray:
     return out
 
 
+def most_differing(percent: int, k: int) -> int:
+    """Values of a union's sketch of ``k`` that one side may lack: more are rarer than ``MISS`` at the limit."""
+    differ = 1 - percent / 100
+    tail, most = 0.0, k
+    while most > 0:
+        tail += comb(k, most) * differ**most * (1 - differ) ** (k - most)
+        if tail >= MISS:
+            break
+        most -= 1
+    return most
+
+
 def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
     """Whether the union's sketch leaves it possible that pairs of sketches are linked."""
     k = a.shape[1]
@@ -147,8 +160,7 @@ def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, perce
         shared = (~new & real & (place <= k)).sum(axis=1)
         union = np.minimum(place[:, -1], k)
         whole = (na[part] <= k) & (nb[part] <= k) & (place[:, -1] <= k)
-        margin = np.where(whole, 0.0, SIGMAS * sqrt(limit * (1 - limit) / k))
-        out[part] = shared + 1e-9 >= (limit - margin) * union
+        out[part] = shared + 1e-9 >= np.where(whole, limit * union, k - most_differing(percent, k))
     return out
 
 
@@ -224,20 +236,22 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
     return materialize(joined.mapInArrow(_exact(percent), "a bigint, b bigint"))
 
 
-def prefix_length(n, percent: int):
+def prefix_length(n, percent: int, k: int = K):
     """Rarest sketch values that lists are made of, for a set of ``n`` shingles."""
     exact = n - F.ceil(n * F.lit(percent) / 100) + 1
-    return F.when(n < 40, exact).otherwise(F.lit(PREFIX))
+    sampled = F.least(n, F.lit(k)) - (k - most_differing(percent, k)) + 1
+    # Up to the first bound, every partner's sketch is its whole set, too.
+    return F.when(100 * n <= percent * k, exact).when(n <= k, F.greatest(exact, sampled)).otherwise(sampled)
 
 
-def _lists(reps: DataFrame, percent: int) -> DataFrame:
+def _lists(reps: DataFrame, percent: int, k: int = K) -> DataFrame:
     """``(v, id, n)``: lists of two or more sketches that have ``v`` among their rarest values."""
     values = materialize(reps.select("id", "sketch").mapInArrow(_values, "id bigint, v bigint"))
     counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = values.join(counts, "v")
     own = shared.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
-    held = F.least("n", F.lit(K))
-    room = prefix_length(F.col("n"), percent) - (held - F.size("shared"))
+    held = F.least("n", F.lit(k))
+    room = prefix_length(F.col("n"), percent, k) - (held - F.size("shared"))
     rarest = (
         own.join(reps.select("id", "n"), "id")
         .withColumn("room", room)
@@ -280,8 +294,7 @@ def _cross(percent: int):
     Of the links found on whole sets, only those that join components of the
     block pair are passed on; what larger sets leave possible is passed on whole.
     """
-    limit = percent / 100
-    margin = SIGMAS * sqrt(limit * (1 - limit) / WIDE)
+    least = WIDE - most_differing(percent, WIDE)
 
     def compare(held):
         ids, comps, ns, sides = (np.asarray(held[name], dtype=np.int64) for name in ("id", "comp", "n", "side"))
@@ -297,7 +310,7 @@ def _cross(percent: int):
         most = np.maximum(na, nb)
         whole = most <= WIDE
         linked = other & whole & (100 * shared >= percent * (na + nb - shared))
-        maybe = other & ~whole & _fit(na, nb, percent) & (shared >= (limit - margin) * np.minimum(WIDE, most))
+        maybe = other & ~whole & _fit(na, nb, percent) & (shared >= least)
         x, y = np.nonzero(maybe)
         out = set(zip(ids[left[x]].tolist(), ids[right[y]].tolist(), strict=True))
         x, y = np.nonzero(linked)
@@ -389,7 +402,7 @@ def near_groups(docs: DataFrame, percent: int = 80, size: int = 5, k: int = K) -
     firsts = members.filter("n > 0 AND doc_id = id").select("id").distinct()
     reps = features.filter("n > 0").withColumnRenamed("doc_id", "id").join(firsts, "id", "left_semi")
     reps = materialize(reps.select("id", "n", "sketch").dropDuplicates(["id"]))
-    lists = _lists(reps, percent)
+    lists = _lists(reps, percent, k)
     stars = lists.filter((F.col("id") != F.col("leader")) & _fit(F.col("n"), F.col("leader_n"), percent))
     stars = stars.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = _linked(materialize(_estimated(stars, reps, percent, k)), rows, size, percent)
