@@ -80,6 +80,16 @@ def test_many_documents_of_one_equation_take_several_lines(spark, docs_of):
     ]
 
 
+def test_lines_of_one_equation_and_folder_are_full_and_in_order(spark):
+    schema = "eqid string, file string, eq_no int, mathml string"
+    found = spark.createDataFrame([("E", f"d/{i:04d}.tex", 0, "") for i in range(1000)], schema)
+    eqs = spark.createDataFrame([("E", "x")], "eqid string, eq_text string")
+    lines = P.equation_documents(found, eqs, eqs.limit(0), counts_per_line=300).orderBy("part").collect()
+    assert [line.part for line in lines] == [0, 1, 2, 3]
+    assert [line.documents.count(",") + 1 for line in lines] == [300, 300, 300, 100]
+    assert ",".join(line.documents for line in lines) == ",".join(f"d/{i:04d}.tex:1" for i in range(1000))
+
+
 def test_missing_and_matched_names(spark, docs_of):
     docs = docs_of(*TEX)
     assert table(P.missing_xhtml(docs, xhtml(spark)), "doc_name") == [("002",)]

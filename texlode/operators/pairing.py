@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from texlode.functions import equations, formats
 from texlode.functions import patterns as P
 from texlode.functions.columns import find_all
 from texlode.operators.extract import DOCUMENT_KEY, display_array, text_array, with_clean_body
-from texlode.plans.physical import compute_once, explode_rows, lookup
+from texlode.plans.physical import compute_once, durable, explode_rows, lookup
 
 # The fields of an equation object, and the messages of the logs.
 EQUATION_SCHEMA = (
@@ -156,15 +156,35 @@ def first_mathml(identified: DataFrame) -> DataFrame:
     )
 
 
-def equation_documents(identified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame) -> DataFrame:
+def _line_parts(counted: DataFrame, length: int) -> DataFrame:
+    """Adds ``part``: the place of a file, in order, within its equation and folder, by ``length``.
+
+    Places are made per range of files, so that no equation meets in one task.
+    """
+    order = ["eqid", "dir", "file"]
+    ranged = durable(counted.repartitionByRange(*order)).withColumn("_range", F.spark_partition_id())
+    keys = ["eqid", "dir", "_range"]
+    sizes = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy("eqid", "dir").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("file")) - 1
+    placed = ranged.withColumn("_place", place).join(offsets, keys)
+    part = F.floor((F.col("_offset") + F.col("_place")) / length)
+    return placed.withColumn("part", part).drop("_range", "_place", "_offset")
+
+
+def equation_documents(
+    identified: DataFrame, eq_dict: DataFrame, meq_dict: DataFrame, counts_per_line: int = 100_000
+) -> DataFrame:
     """Lines of the table: id, masked TeX, masked quoted MathML, ``file:count,..``, folder.
 
-    Every equation has one line for each corpus folder it stands in, so that no
-    line grows with the corpus; one that stands nowhere has an empty folder.
+    Every equation has lines of ``counts_per_line`` files, in order, for each
+    corpus folder it stands in, so that no line grows with the corpus; ``part``
+    numbers them.  One that stands nowhere has an empty folder.
     """
     texts = eq_dict.select("eqid", "eq_text").unionByName(meq_dict.select("eqid", "eq_text"))
     counted = document_counts(identified).withColumn("dir", F.substring_index("file", "/", 1))
-    lists = counted.groupBy("eqid", "dir").agg(
+    lists = _line_parts(counted, counts_per_line).groupBy("eqid", "dir", "part").agg(
         F.array_sort(F.collect_list(F.struct(F.col("file").alias("key"), F.col("n").alias("value")))).alias("items")
     )
     lines = texts.join(first_mathml(identified), "eqid", "left").join(lists, "eqid", "left")
@@ -180,6 +200,7 @@ def equation_documents(identified: DataFrame, eq_dict: DataFrame, meq_dict: Data
             F.lit(""),
         ).alias("documents"),
         F.coalesce("dir", F.lit("")).alias("dir"),
+        F.coalesce("part", F.lit(0)).alias("part"),
     )
 
 
