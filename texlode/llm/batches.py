@@ -1,4 +1,4 @@
-"""Arrow batches to numpy: texts in bounded chunks, words, polynomial hashes.
+"""Arrow batches to numpy: texts in bounded chunks, words, polynomial hashes, integer vectors.
 
 Everything here runs inside Spark tasks on the rows of one batch.
 """
@@ -6,6 +6,7 @@ Everything here runs inside Spark tasks on the rows of one batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -102,13 +103,19 @@ class Polynomial:
 class Words:
     """Words of a chunk of texts: byte spans, documents and 64-bit hashes."""
 
-    def __init__(self, texts: list[bytes], polynomial: Polynomial | None = None, lower: bool = False):
+    def __init__(
+        self,
+        texts: list[bytes],
+        polynomial: Polynomial | None = None,
+        lower: bool = False,
+        spaces: np.ndarray = SPACES,
+    ):
         joined = b" ".join(texts) + b" "
         if lower:
             joined = joined.lower()
         self.joined = joined
         data = np.frombuffer(joined, dtype=np.uint8)
-        space = SPACES[data]
+        space = spaces[data]
         before = np.empty_like(space)
         before[0] = True
         before[1:] = space[:-1]
@@ -133,3 +140,35 @@ class Words:
         if last <= first:
             return []
         return self.joined[self.start[first] : self.end[last - 1]].split()
+
+
+# Entries of exact sums, by row and column of a matrix.
+ENTRY = "i int, j int, s decimal(38,0)"
+
+
+def integer_vectors(column: pa.Array, scale: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors as ``floor(scale * x)``: rows that are kept, their lengths, all their entries.
+
+    A row stays if it is not null and all its entries are finite numbers with a
+    result of at most ``largest``.
+    """
+    lengths = np.asarray(column.value_lengths().fill_null(0), dtype=np.int64)
+    flat = column.flatten()
+    known = np.asarray(flat.is_valid())
+    values = np.asarray(flat.cast(pa.float64()).fill_null(0), dtype=np.float64)
+    with np.errstate(over="ignore", invalid="ignore"):
+        scaled = np.floor(values * scale)
+        good = known & np.isfinite(scaled) & (np.abs(scaled) <= largest)
+    bad = np.concatenate(([0], np.cumsum(~good)))
+    ends = np.cumsum(lengths)
+    kept = np.asarray(column.is_valid()) & (bad[ends] == bad[ends - lengths])
+    entries = np.repeat(kept, lengths)
+    return np.flatnonzero(kept), lengths[kept], scaled[entries].astype(np.int64)
+
+
+def entry_batch(i: np.ndarray, j: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """Exact sums as rows of ``ENTRY``."""
+    values = pa.array([Decimal(int(x)) for x in sums.tolist()], pa.decimal128(38, 0))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), values], names=["i", "j", "s"]
+    )

@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from texlode.llm.clustering import clustered_rows
 from texlode.llm.exact_dedup import exact_groups
+from texlode.llm.license_scan import scan_licenses
+from texlode.llm.licenses import templates
 from texlode.llm.near_dedup import near_groups
 from texlode.llm.packing import pack_documents
 from texlode.llm.quality_classifier import quality_scores
@@ -24,6 +27,7 @@ from texlode.llm.sharding import assign_shards
 from texlode.llm.substring_dedup import remove_later
 from texlode.llm.suffix_dedup import remove_repeats
 from texlode.llm.tokens import length_histogram, round_trip_digests, token_counts
+from texlode.llm.whitening import whitened_rows
 from texlode.llm.workers import reach
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +38,7 @@ PACK_TOKENIZER = "byte_bpe_50k.json"
 PACK_RANKS = "byte_bpe_50k.tiktoken"
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS, SLOTS = 64, 6553
+CENTROIDS, ROUNDS = 16, 3
 CONTEXT_LIMITS = [512, 1024, 2048, 4096, 8192, 16384, 32768, 65536, 131072]
 
 
@@ -41,6 +46,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet")
+
+
 def query(build: Callable[[SparkSession, str], DataFrame]):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(reach(spark), folder)
@@ -242,3 +251,122 @@ def op10_token_counts(spark, folder):
     """Histogram of encoded lengths with the totals at each length and context limit."""
     counts = token_counts(documents(spark, folder), public_tokenizers.path(PACK_RANKS))
     return length_histogram(counts, CONTEXT_LIMITS)
+
+
+@query
+def op11_embedding_whitening(spark, folder):
+    """Each embedding on the 32 leading components of the covariance, at unit variance."""
+    return whitened_rows(embeddings(spark, folder), components=32)
+
+
+@query
+def op12_license_scan(spark, folder):
+    """Licence phrases and notices in each document."""
+    return scan_licenses(documents(spark, folder))
+
+
+def _license_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + " ".join(text.split()).replace("'", "''") + "'"
+
+    rows = ",\n    ".join(
+        f"({i}, '{t.label}', {quoted(t.text)}, {t.k}, {t.least}, {t.slack}, {t.base})" for i, t in enumerate(templates())
+    )
+    sizes = sorted({t.k for t in templates()})
+
+    def words(text: str) -> str:
+        lower = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+    grams = " UNION ALL ".join(
+        f"""SELECT doc, i - 1 AS p, {k} AS k, g{k} AS g FROM windows WHERE i + {k} <= n + 1""" for k in sizes
+    )
+    windows = ", ".join(
+        f"string_agg(word, ' ') OVER (PARTITION BY doc ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING) AS g{k}"
+        for k in sizes
+    )
+    return f"""
+WITH known(template, label, body, k, least, slack, base) AS (VALUES
+    {rows}),
+template_words AS (SELECT *, {words("body")} AS ws FROM known),
+places AS (
+  SELECT template, k, t, array_to_string(ws[t + 1:t + k], ' ') AS g
+  FROM (SELECT *, unnest(range(len(ws) - k + 1)) AS t FROM template_words)),
+texts AS (SELECT row_number() OVER () AS doc, doc_id, {words("coalesce(text, '')")} AS ws FROM documents),
+tokens AS (SELECT doc, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM texts),
+windows AS (SELECT doc, n, i, {windows} FROM tokens),
+grams AS ({grams}),
+hits AS (SELECT doc, template, p - t AS diagonal, p, t FROM grams JOIN places USING (k, g)),
+diagonals AS (SELECT DISTINCT doc, template, diagonal FROM hits),
+steps AS (
+  SELECT doc, template, diagonal,
+         CASE WHEN slack > 0 AND diagonal - lag(diagonal) OVER (PARTITION BY doc, template ORDER BY diagonal) <= slack
+              THEN 0 ELSE 1 END AS new
+  FROM diagonals JOIN known USING (template)),
+spans AS (
+  SELECT doc, template, diagonal, sum(new) OVER (PARTITION BY doc, template ORDER BY diagonal) AS span FROM steps),
+shares AS (
+  SELECT doc, template, span, min(p) AS start, count(DISTINCT t) / (len(any_value(ws)) - any_value(k) + 1) AS share
+  FROM hits JOIN spans USING (doc, template, diagonal) JOIN template_words USING (template)
+  GROUP BY doc, template, span),
+found AS (
+  SELECT doc, start, share, base, label FROM shares JOIN known USING (template) WHERE share >= least),
+results AS (
+  SELECT doc, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found GROUP BY doc)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM texts LEFT JOIN results USING (doc)
+"""
+
+
+ORACLE["op12_license_scan"] = _license_sql()
+
+
+@query
+def op13_centroid_clustering(spark, folder):
+    """Cluster of each embedding after three rounds over 16 centroids."""
+    return clustered_rows(embeddings(spark, folder), k=CENTROIDS, rounds=ROUNDS)
+
+
+def _clustering_sql(k: int, rounds: int, dims: int = 64, scale: int = 64) -> str:
+    """Rounds written out one after another; vectors and centroids as lists of whole numbers."""
+    distance = "list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = []
+    for step in range(rounds + 1):
+        steps.append(f"""
+distance{step} AS (SELECT row, vec_id, x, cluster, {distance}::BIGINT AS distance FROM vectors CROSS JOIN centroids{step}),
+nearest{step} AS (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(x) AS x, min(distance) AS distance,
+         arg_min(cluster, (distance, cluster)) AS cluster
+  FROM distance{step} GROUP BY row),""")
+        if step < rounds:
+            steps.append(f"""
+entries{step} AS (SELECT cluster, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM nearest{step}),
+means{step} AS (
+  SELECT cluster, i, sum(v) AS s, count(*) AS n FROM entries{step} GROUP BY cluster, i),
+moved{step} AS (
+  SELECT cluster, list((CASE WHEN s >= 0 THEN s // n ELSE -((-s + n - 1) // n) END)::BIGINT ORDER BY i) AS c
+  FROM means{step} GROUP BY cluster),
+centroids{step + 1} AS (
+  SELECT o.cluster, coalesce(m.c, o.c) AS c FROM centroids{step} o LEFT JOIN moved{step} m ON o.cluster = m.cluster),""")
+    return f"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda e: floor({scale} * e::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: isfinite(e))) = {dims}),
+centroids0 AS (
+  SELECT (row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), x) - 1)::INTEGER AS cluster, x AS c
+  FROM vectors QUALIFY row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), x) <= {k}),
+{"".join(steps)}
+digests AS (
+  SELECT cluster, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM centroids{rounds})
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM nearest{rounds} JOIN digests USING (cluster)
+"""
+
+
+ORACLE["op13_centroid_clustering"] = _clustering_sql(CENTROIDS, ROUNDS)
