@@ -12,6 +12,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "texlod
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the call site of each column expression costs more than building it.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
