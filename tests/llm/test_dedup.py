@@ -179,13 +179,64 @@ def test_op8_finds_long_contained_pairs_at_the_limit(as_frame):
     assert [r["doc_id"] for r in rows if r["component_id"] != r["doc_id"] // 2 * 2] == []
 
 
+def near_texts(rnd, groups, members, words, changes):
+    """Groups of near copies that all share the start of one text."""
+    start = [f"s{i}" for i in range(words // 12)]
+    docs = []
+    for g in range(groups):
+        base = start + [f"g{g}w{i}" for i in range(words - len(start))]
+        for _ in range(members):
+            text = list(base)
+            for _ in range(rnd.randint(0, changes)):
+                text[rnd.randrange(len(start), words)] = f"x{rnd.random()}"
+            docs.append((len(docs), " ".join(text)))
+    return docs
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 22, 20_000])
+def test_op8_long_lists_of_long_texts(as_frame, monkeypatch, block_bytes):
+    """Sets of over 512 shingles, many of them in lists that stay open."""
+    import random
+
+    from texlode.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "SHORT_LIST", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", block_bytes)
+    passed = []
+    blocks = near_dedup._in_blocks
+    monkeypatch.setattr(near_dedup, "_in_blocks", lambda *a: passed.append(blocks(*a)) or passed[-1])
+    docs = near_texts(random.Random(1), 12, 20, 700, 40)
+    got = near_dedup.near_groups(as_frame(docs), percent=80).collect()
+    assert by_text(got) == by_text(plain_near(docs, 80))
+    assert passed[0].count() <= 10 * len(docs)
+
+
+def test_op8_ids_that_are_missing_or_repeated(as_frame):
+    from texlode.llm.near_dedup import drop_near, near_groups
+
+    text = [f"w{i}" for i in range(60)]
+    other = [f"o{i}" for i in range(60)]
+    only = [f"n{i}" for i in range(60)]
+    docs = [
+        (1, " ".join(text)), (1, " ".join(other)), (2, " ".join(text + ["end"])), (3, " ".join(other + ["end"])),
+        (None, " ".join(text + ["none"])), (None, " ".join(only)), (None, " ".join(only + ["more"])), (4, "apart"),
+    ]
+    got = near_groups(as_frame(docs), percent=80).collect()
+    assert sorted((r.component_id is None, r.component_id or 0, r.n_shingles, r.kept) for r in got) == [
+        (False, 1, 56, True), (False, 1, 56, True), (False, 1, 57, False), (False, 1, 57, False), (False, 1, 57, False),
+        (False, 4, 1, True), (True, 0, 56, True), (True, 0, 57, True),
+    ]
+    kept = drop_near(as_frame(docs), percent=80).collect()
+    assert len(kept) == 4 and {r.doc_id for r in kept} == {1, 4, None}
+
+
 def test_sketches_lose_less_than_one_in_a_million():
     from math import comb
 
-    from texlode.llm.near_dedup import WIDE, K, most_differing
+    from texlode.llm.near_dedup import K, most_differing
 
     for percent in (50, 80, 85, 95):
-        for k in (K, WIDE):
+        for k in (16, K, 512):
             most, differ = most_differing(percent, k), 1 - percent / 100
             lost = sum(comb(k, j) * differ**j * (1 - differ) ** (k - j) for j in range(most + 1, k + 1))
             assert lost < 5e-7

@@ -12,22 +12,26 @@ smallest hashes are its sketch.
    estimates the similarity of each pair; what passes is compared on whole sets.
 4. Members of a list that are then still in different components are compared
    with each other: within short lists in pairs of sketches, within long ones in
-   blocks of whole sets, which pass on no more links than join components.  Pairs
-   inside one component need no comparison, since only components count.
+   blocks of whole sets, bounded in rows and bytes, which pass on no more links
+   than join components.  Pairs inside one component need no comparison, since
+   only components count.
 5. Components of all links found.
 
+Classes have numbers of their own, so neither null nor repeated ids matter to the
+comparison; ids come back at the end.
+
 Of a linked pair's union sketch, the number of values that only one side has is
 at most binomial.  Estimate and prefix allow as many of them as a pair at the
 limit exceeds with a probability below ``MISS`` (``most_differing``), whether one
-document contains the other or not; blocks allow the same for their longer
-sketches.  So a linked pair is lost with a probability below one in a million;
+document contains the other or not; blocks hold whole sets.  So a linked pair is lost with a probability below one in a million;
 short documents' sketches are their whole sets, and nothing is lost.
 
 Defined results: a document without words is linked with nothing, not even with
 its like; one with fewer words than a shingle has its whole sequence as its only
-shingle; repeated rows are members of one class; a document with a null id can
-be a member of a class but names none; other columns are not read; an empty
-table gives no rows.
+shingle; repeated rows are members of one class; rows that share an id but not a
+text are compared like any others; a document with a null id is linked like any
+other but names no component, unless all its members have none; other columns are
+not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,24 +45,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from texlode.llm.batches import Polynomial, Words, column_bytes, mix, signed, text_chunks
+from texlode.llm.batches import Polynomial, Words, column_bytes, text_chunks
 from texlode.llm.components import components
 from texlode.plans.physical import materialize
 
 K = 64
-# Probability of losing a linked pair by its sketches; blocks may add as much.
+# Probability of losing a linked pair by its sketches, for the estimate and for the prefix.
 MISS = 5e-7
-# Lists up to this length are paired, longer ones compared in blocks of that many.
+# Lists up to this length are paired, longer ones compared in blocks of about so many rows and bytes.
 SHORT_LIST = 64
 BLOCK_ROWS = 1024
-# Hashes of a set that blocks compare; up to so many are the whole set.
-WIDE = 512
+BLOCK_BYTES = 1 << 22
 # Values that a block counts at once.
 _COLUMNS = 2048
 # So many ids are broadcast to find their documents; more are joined by shuffle.
 BROADCAST_IDS = 500_000
-# Column of a join; no table has it.
-GONE = "texlode near dedup"
+# Columns of a join; no table has them.
+GONE, GONE_TAG = "texlode near dedup", "texlode near dedup tag"
 # Pairs that numpy estimates at once.
 _PAIRS = 1 << 13
 _NONE = np.iinfo(np.uint64).max
@@ -90,6 +93,18 @@ def _polynomials():
     return Polynomial(31), Polynomial(32)
 
 
+def _digest(raw: bytes) -> int:
+    return xxhash.xxh3_128_intdigest(raw)
+
+
+def _halves(digests: list[int]) -> list[pa.Array]:
+    """Digests as two columns of longs."""
+    return [
+        pa.array([(d >> 64) - (1 << 63) for d in digests], pa.int64()),
+        pa.array([(d & (1 << 64) - 1) - (1 << 63) for d in digests], pa.int64()),
+    ]
+
+
 def _features(size: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         polynomials = _polynomials()
@@ -101,17 +116,17 @@ def _features(size: int, k: int):
                 edges = bounds.tolist()
                 digests, sketches = [], []
                 for a, b in zip(edges, edges[1:], strict=False):
-                    digests.append(xxhash.xxh3_128_intdigest(raw[8 * a : 8 * b]))
+                    digests.append(_digest(raw[8 * a : 8 * b]))
                     sketches.append(raw[8 * a : 8 * min(b, a + k)].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(i, j - i),
+                        batch.column("tag").slice(i, j - i),
                         pa.array(np.diff(bounds)),
-                        pa.array([(d >> 64) - (1 << 63) for d in digests], pa.int64()),
-                        pa.array([(d & (1 << 64) - 1) - (1 << 63) for d in digests], pa.int64()),
+                        *_halves(digests),
                         pa.array(sketches, pa.binary()),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "sketch"],
+                    names=["doc_id", "tag", "n", "d1", "d2", "sketch"],
                 )
 
     return run
@@ -193,8 +208,9 @@ def _whole_sets(size: int):
                 hashes, bounds = shingle_sets(texts[i:j], size, polynomials)
                 raw = hashes.tobytes()
                 sets = [raw[8 * a : 8 * b] for a, b in zip(bounds.tolist(), bounds.tolist()[1:], strict=False)]
+                digests = [_digest(x) for x in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), pa.array(sets, pa.binary())], names=["id", "set"]
+                    [*_halves(digests), pa.array(sets, pa.binary())], names=["d1", "d2", "set"]
                 )
 
     return run
@@ -216,20 +232,23 @@ def _exact(percent: int):
     return run
 
 
-def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """Whole sets ``(id, set)`` of the documents named by ``ids``, stored."""
-    ids = materialize(ids)
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    found = docs.join(ids, "doc_id", "left_semi").mapInArrow(_whole_sets(size), "id bigint, set binary")
+def _sets_of(ids: DataFrame, corpus: tuple[DataFrame, DataFrame, int]) -> DataFrame:
+    """Whole sets ``(id, set)`` of the classes named by ``ids``, stored."""
+    docs, classes, size = corpus
+    wanted = materialize(classes.join(ids, "id", "left_semi").select("id", "d1", "d2", "first"))
+    first = wanted.select("first").distinct()
+    if wanted.count() <= BROADCAST_IDS:
+        first, wanted = F.broadcast(first), F.broadcast(wanted)
+    rows = docs.join(first, docs["doc_id"].eqNullSafe(first["first"]), "left_semi").select("text")
+    found = rows.mapInArrow(_whole_sets(size), "d1 bigint, d2 bigint, set binary").join(wanted, ["d1", "d2"])
     # Repeated rows have equal sets; any of them will do.
-    return materialize(found.dropDuplicates(["id"]))
+    return materialize(found.select("id", "set").dropDuplicates(["id"]))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, corpus: tuple[DataFrame, DataFrame, int], percent: int) -> DataFrame:
     """Pairs that are linked by their whole sets; ``pairs`` is stored, the result too."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = _sets_of(ids, docs, size)
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = _sets_of(ids, corpus)
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("xa"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("xb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "xa", "xb")
@@ -291,28 +310,21 @@ def _shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
 def _cross(percent: int):
     """Compares the rows of each block pair: sides 0 and 1, or side 0 with itself.
 
-    Of the links found on whole sets, only those that join components of the
-    block pair are passed on; what larger sets leave possible is passed on whole.
+    Of the links found, only those that join components of the block pair are passed on.
     """
-    least = WIDE - most_differing(percent, WIDE)
 
     def compare(held):
         ids, comps, ns, sides = (np.asarray(held[name], dtype=np.int64) for name in ("id", "comp", "n", "side"))
-        sets = [np.frombuffer(x or b"", dtype=np.uint64) for x in held["wide"]]
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in held["set"]]
         left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
         if not len(right):
             right = left
         if not len(left):
             return
-        shared = _shared_counts(sets, left, right)
+        shared = _shared_counts(sets, left, right).astype(np.float64)
         na, nb = ns[left][:, None], ns[right][None, :]
-        other = comps[left][:, None] != comps[right][None, :]
-        most = np.maximum(na, nb)
-        whole = most <= WIDE
-        linked = other & whole & (100 * shared >= percent * (na + nb - shared))
-        maybe = other & ~whole & _fit(na, nb, percent) & (shared >= least)
-        x, y = np.nonzero(maybe)
-        out = set(zip(ids[left[x]].tolist(), ids[right[y]].tolist(), strict=True))
+        linked = comps[left][:, None] != comps[right][None, :]
+        linked &= 100 * shared >= percent * (na + nb - shared)
         x, y = np.nonzero(linked)
         # One link of each row to each component, then a forest of components.
         one = np.unique(np.column_stack((x, comps[right[y]])), axis=0, return_index=True)[1]
@@ -323,12 +335,12 @@ def _cross(percent: int):
                 c = parent[c]
             return c
 
+        pairs = []
         for i, j in zip(left[x[one]].tolist(), right[y[one]].tolist(), strict=True):
             a, b = root(int(comps[i])), root(int(comps[j]))
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                out.add((int(ids[i]), int(ids[j])))
-        pairs = sorted({(min(p), max(p)) for p in out})
+                pairs.append((int(ids[i]), int(ids[j])))
         yield pa.RecordBatch.from_arrays(
             [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"]
         )
@@ -343,8 +355,8 @@ def _cross(percent: int):
                     yield from compare(held)
                     held = {}
                 if not held:
-                    held = {"unit": unit, "id": [], "comp": [], "n": [], "side": [], "wide": []}
-                for name in ("id", "comp", "n", "side", "wide"):
+                    held = {"unit": unit, "id": [], "comp": [], "n": [], "side": [], "set": []}
+                for name in ("id", "comp", "n", "side", "set"):
                     held[name].append(columns[name][row])
         if held:
             yield from compare(held)
@@ -352,16 +364,18 @@ def _cross(percent: int):
     return run
 
 
-def _in_blocks(long: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Candidate pairs of long lists: members outside the leader's component with all others."""
-    wide = _sets_of(long.select(F.col("id").alias("doc_id")).distinct(), docs, size)
-    wide = wide.select("id", F.expr(f"substring(set, 1, {8 * WIDE})").alias("wide"))
+def _in_blocks(long: DataFrame, corpus: tuple[DataFrame, DataFrame, int], percent: int) -> DataFrame:
+    """Links in long lists, of members outside the leader's component with all others."""
+    sets = _sets_of(long.select("id").distinct(), corpus)
     outside = (F.col("comp") != F.col("leader_comp")).alias("outside")
     marked = long.withColumn("outside", outside)
+    # A block is bounded in rows and in bytes.
+    weight = F.greatest(F.lit(1 / BLOCK_ROWS), 8 * F.col("n") / BLOCK_BYTES)
     sizes = marked.groupBy("v").agg(
-        F.sum(F.col("outside").cast("bigint")).alias("out"), F.sum((~F.col("outside")).cast("bigint")).alias("in")
+        F.sum(F.when(F.col("outside"), weight).otherwise(0.0)).alias("out"),
+        F.sum(F.when(F.col("outside"), 0.0).otherwise(weight)).alias("in"),
     )
-    blocks = lambda name: F.ceil(F.col(name) / BLOCK_ROWS).cast("int")
+    blocks = lambda name: F.ceil(F.col(name)).cast("int")
     sized = marked.join(sizes.filter("out > 0"), "v").select(
         "v", "id", "comp", "n", "outside", blocks("out").alias("ob"), blocks("in").alias("ib")
     )
@@ -379,7 +393,7 @@ def _in_blocks(long: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
         "v", "id", "comp", "n", F.explode(F.sequence(F.lit(0), F.col("ob") - 1)).alias("i"),
         (F.col("p") + F.col("ob")).alias("j"), F.lit(1).alias("side"),
     )
-    units = rows.unionByName(inner).join(wide, "id")
+    units = rows.unionByName(inner).join(sets, "id")
     return (
         units.repartition("v", "i", "j")
         .sortWithinPartitions("v", "i", "j")
@@ -393,19 +407,30 @@ def near_groups(docs: DataFrame, percent: int = 80, size: int = 5, k: int = K) -
     Documents are linked when ``100 * shared >= percent * union`` of their
     shingles; a component is named by its smallest id, which is the one kept.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    features = materialize(rows.mapInArrow(_features(size, k), "doc_id bigint, n bigint, d1 bigint, d2 bigint, sketch binary"))
-    classes = features.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
+    return _groups(docs, percent, size, k).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _groups(docs: DataFrame, percent: int, size: int, k: int = K) -> DataFrame:
+    """Rows of ``near_groups`` with the ``tag`` of their text and whether they are of the class that ``stays``."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_tag("text").alias("tag"))
+    features = materialize(
+        rows.mapInArrow(
+            _features(size, k), "doc_id bigint, tag bigint, n bigint, d1 bigint, d2 bigint, sketch binary"
+        )
+    )
+    classes = features.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"))
+    # Stored at once, so that the numbers stay.
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))
+    corpus = (rows, classes, size)
     members = materialize(
-        features.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left").select("doc_id", "n", "id")
+        features.select("doc_id", "tag", "n", "d1", "d2").join(classes, ["d1", "d2"], "left").drop("d1", "d2")
     )
-    firsts = members.filter("n > 0 AND doc_id = id").select("id").distinct()
-    reps = features.filter("n > 0").withColumnRenamed("doc_id", "id").join(firsts, "id", "left_semi")
+    reps = features.filter("n > 0").join(classes, ["d1", "d2"]).filter(F.col("doc_id").eqNullSafe(F.col("first")))
     reps = materialize(reps.select("id", "n", "sketch").dropDuplicates(["id"]))
     lists = _lists(reps, percent, k)
     stars = lists.filter((F.col("id") != F.col("leader")) & _fit(F.col("n"), F.col("leader_n"), percent))
     stars = stars.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = _linked(materialize(_estimated(stars, reps, percent, k)), rows, size, percent)
+    links = _linked(materialize(_estimated(stars, reps, percent, k)), corpus, percent)
     first = components(links)
     named = first.select("id", F.col("component").alias("comp"))
     lead = first.select(F.col("id").alias("leader"), F.col("component").alias("leader_comp"))
@@ -422,24 +447,42 @@ def near_groups(docs: DataFrame, percent: int = 80, size: int = 5, k: int = K) -
         (F.col("id") < F.col("b")) & (F.col("comp") != F.col("other")) & _fit(F.col("n"), F.col("nb"), percent)
     )
     pairs = pairs.select(F.col("id").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = _estimated(pairs, reps, percent, k)
-    blocks = _in_blocks(placed.filter(F.col("size") > SHORT_LIST), rows, size, percent)
-    more = materialize(more.unionByName(blocks).distinct())
-    links = links.unionByName(_linked(more, rows, size, percent))
-    found = components(links)
-    component = F.when(F.col("n") > 0, F.coalesce("component", found["id"], members["id"])).otherwise(F.col("doc_id"))
-    return members.join(found, members["id"] == found["id"], "left").select(
+    more = materialize(_estimated(pairs, reps, percent, k))
+    blocks = materialize(_in_blocks(placed.filter(F.col("size") > SHORT_LIST), corpus, percent))
+    found = components(links.unionByName(_linked(more, corpus, percent)).unionByName(blocks))
+    # Names of the components that links make; a class without links is its own.
+    roots = found.select(F.col("component").alias("id"), "component").distinct()
+    linked = classes.select("id", "first").join(found.unionByName(roots), "id")
+    known = F.when(F.col("first").isNotNull(), F.struct("first", "id"))
+    names = linked.groupBy("component").agg(F.min(known).alias("named"), F.min("id").alias("least"))
+    names = linked.select("id", "component").join(names, "component").select(
+        "id", F.col("named.first").alias("name"), F.coalesce("named.id", "least").alias("keeper")
+    )
+    component = F.when(F.col("n") == 0, F.col("doc_id")).when(names["id"].isNotNull(), F.col("name")).otherwise(F.col("first"))
+    kept = F.col("doc_id").eqNullSafe(component)
+    return members.join(names, members["id"] == names["id"], "left").select(
         "doc_id",
+        "tag",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        kept.alias("kept"),
+        (kept & (F.col("keeper").isNull() | (F.col("keeper") == members["id"]))).alias("stays"),
     )
 
 
+def text_tag(text: str):
+    """Tells rows with one id and several texts apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def drop_near(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
-    """The documents that stay, with all their columns; an id names one document."""
-    groups = materialize(near_groups(docs, percent, size))
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias(GONE)).distinct()
+    """The documents that stay, with all their columns: those with the id and the words that name their component.
+
+    Of a component without ids, one set of words stays.
+    """
+    groups = materialize(_groups(docs, percent, size))
+    gone = groups.filter(~F.col("stays")).select(F.col("doc_id").alias(GONE), F.col("tag").alias(GONE_TAG)).distinct()
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone[GONE], "left_anti")
+    same = docs["doc_id"].cast("bigint").eqNullSafe(gone[GONE]) & (text_tag("text") == gone[GONE_TAG])
+    return docs.join(gone, same, "left_anti")
