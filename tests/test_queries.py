@@ -19,6 +19,8 @@ CHOSEN = (
     "mse_status", "label_refs", "package_top50", "eqs_by_category", "rejects_summary", "brace_groups",
     "expand_inputs", "macro_deps", "expand_macros", "macro_outcomes", "macro_defs", "unmatched_equations",
     "tex_xhtml_join", "stream_eq_keys", "stream_eq_ids",
+    "resume_inline_ids", "resume_meq_ids", "stream_environments", "stream_inline_ids", "stream_meq_ids",
+    "scan_folder", "scan_submissions", "read_eq_json_files", "rejects_table",
     "inline_segments", "write_inline_tsv", "write_texts", "write_categories", "quarantine_submissions",
 )
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")

@@ -91,8 +91,8 @@ def test_writers(spark, docs_of, tmp_path):
     writers.write_texts(docs, f"{tmp_path}/texts")
     assert spark.read.parquet(f"{tmp_path}/texts").count() == 2
     rejects = R.bodyless(docs)
-    writers.append_rejects(rejects, f"{tmp_path}/rejects")
-    writers.append_rejects(rejects, f"{tmp_path}/rejects")
+    for run in ("a", "b", "a"):
+        writers.write_rejects(rejects, f"{tmp_path}/rejects", run)
     assert spark.read.parquet(f"{tmp_path}/rejects").count() == 4
     cats = spark.createDataFrame([("a.tex", "math")], "file string, category string")
     writers.write_categories(cats, f"{tmp_path}/cats")
@@ -130,9 +130,75 @@ def test_stream_counts(spark, docs_of, tmp_path):
     docs = docs_of(*STREAM)
     docs.repartition(3).write.parquet(f"{tmp_path}/in")
     stream = I.stream_documents(spark, f"{tmp_path}/in", 1)
-    I.stream_counts(I.running_packages(stream), f"{tmp_path}/p", f"{tmp_path}/cp").awaitTermination()
+    I.stream_counts(stream, I.running_packages, f"{tmp_path}/p", f"{tmp_path}/cp").awaitTermination()
     assert table(I.latest_counts(spark, f"{tmp_path}/p"), "package", "n") == table(
         R.package_frequency(docs), "package", "n"
     )
-    I.stream_counts(I.running_environments(stream), f"{tmp_path}/e", f"{tmp_path}/ce").awaitTermination()
+    I.stream_counts(stream, I.running_environments, f"{tmp_path}/e", f"{tmp_path}/ce").awaitTermination()
     assert table(I.latest_counts(spark, f"{tmp_path}/e"), "env", "n") == [("align", 12), ("dollarsign", 12)]
+
+
+def test_replayed_counts_change_nothing(spark, docs_of, tmp_path):
+    docs = docs_of(*STREAM)
+    docs.repartition(3).write.parquet(f"{tmp_path}/in")
+    for progress in ("one", "two"):
+        stream = I.stream_documents(spark, f"{tmp_path}/in", 1)
+        I.stream_counts(stream, I.running_packages, f"{tmp_path}/p", f"{tmp_path}/{progress}").awaitTermination()
+    assert table(I.latest_counts(spark, f"{tmp_path}/p"), "package", "n") == [("p", 12), ("q", 12)]
+
+
+INLINE_STREAM = [body(f"a $x_{i % 4}$ b $y_{i}$ \\begin{{align}}p_{i % 3}\\\\q_{i}\\end{{align}} c") for i in range(12)]
+
+
+def test_streams_of_inline_and_multiline_dictionaries(spark, docs_of, tmp_path):
+    docs = docs_of(*INLINE_STREAM)
+    inline, single, multi = (f"{tmp_path}/{kind}" for kind in ("inline", "single", "multi"))
+    halves = [docs.filter("file < 'd/006'"), docs.filter("file >= 'd/006'")]
+
+    def grow(batch):
+        I.append_inline_batch(halves[batch], batch, inline)
+        I.append_multiline_batch(halves[batch], batch, multi, single)
+        return (
+            table(I.read_dictionary(spark, inline, schema=I.INLINE_SCHEMA), "eqid", "eq_text"),
+            table(I.read_dictionary(spark, multi, schema=I.MULTILINE_SCHEMA), "eqid", "sub_ids", "eq_text"),
+        )
+
+    first = grow(0)
+    second = grow(1)
+    assert set(first[0]) < set(second[0]) and len(second[0]) == 16
+    assert sorted(int(e[4:-1]) for e, _ in second[0]) == list(range(16))
+    # In this order of arrival, ids are those of the dictionaries of the whole corpus.
+    classified = X.classified_equations(docs)
+    eqs = D.equation_dictionary(classified)
+    assert second[0] == table(D.inline_dictionary(X.inline_equations(docs)), "eqid", "eq_text")
+    assert second[1] == table(D.multiline_dictionary(classified, eqs), "eqid", "sub_ids", "eq_text")
+    # A repeated batch leaves the tables as they are.
+    assert grow(1) == second
+
+
+def test_batches_read_only_the_buckets_of_their_keys(spark, docs_of, tmp_path):
+    I.append_inline_batch(docs_of(*INLINE_STREAM), 0, f"{tmp_path}/inline")
+    keys = spark.createDataFrame([("$x_1$",), ("$new$",)], "text string")
+    whole = I.read_dictionary(spark, f"{tmp_path}/inline", 1, I.INLINE_SCHEMA)
+    part = I.touched_buckets(whole, keys, "text")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "$x_1$" in {r.eq_text for r in part.collect()} and part.count() < whole.count()
+    I.compact_dictionary(spark, f"{tmp_path}/inline", f"{tmp_path}/compact", I.INLINE_SCHEMA)
+    again = I.read_dictionary(spark, f"{tmp_path}/compact", 0, I.INLINE_SCHEMA)
+    assert table(again, "eqid", "eq_text") == table(whole, "eqid", "eq_text")
+
+
+def test_files_are_written_whole_and_again(spark, tmp_path):
+    files = spark.createDataFrame(
+        [("a/x.tex", bytearray(b"one\r\ntwo")), ("a/b/y.TEX", bytearray(b"\xe9")), ("a/z.txt", bytearray(b""))],
+        "path string, content binary",
+    )
+    for _ in range(2):
+        writers.write_files(files, f"file:{tmp_path}/out")
+    assert sorted(p.name for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.endswith(".crc")) == [
+        "x.tex", "y.TEX", "z.txt",
+    ]
+    assert table(readers.read_submissions(spark, f"{tmp_path}/out"), "folder", "rel_path", "text") == [
+        ("a", "b/y.TEX", "\u00e9"), ("a", "x.tex", "one\ntwo"),
+    ]

@@ -76,9 +76,9 @@ def equation_dictionary(classified: DataFrame) -> DataFrame:
     )
 
 
-def multiline_dictionary(classified: DataFrame, eq_dict: DataFrame) -> DataFrame:
-    """``(eqid, sub_ids, eq_text, n_occurrences)``: distinct multi-line equations, ids of their lines in order."""
-    distinct = (
+def distinct_multiline(classified: DataFrame) -> DataFrame:
+    """One row per multi-line equation; its first occurrence supplies the lines."""
+    return (
         classified.filter(F.col("is_multiline"))
         .groupBy(F.col("text").alias("eq_text"))
         .agg(
@@ -87,25 +87,34 @@ def multiline_dictionary(classified: DataFrame, eq_dict: DataFrame) -> DataFrame
         )
         .select("eq_text", "first.*", "n_occurrences")
     )
-    numbered = dense_ids(distinct, ["file", "eq_no"], "eq_number")
+
+
+def _with_line_ids(numbered: DataFrame, eq_dict: DataFrame, hits: str | None) -> DataFrame:
+    """Adds ``sub_ids``, the ids of an equation's lines in order, to rows that have an ``eq_number``."""
     lines = explode_rows(
         numbered.select("eq_number", equations.sub_equations("flat_eq").alias("lines")),
         "lines", "sub_no", "eq_key", ["eq_number"],
     )
-    found = lookup(lines, eq_dict.select("eq_key", "eqid", "n_occurrences"), "eq_key", "n_occurrences")
+    found = lookup(lines, eq_dict.select("eq_key", "eqid", *([hits] if hits else [])), "eq_key", hits)
     ids = found.groupBy("eq_number").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("sub_no", "eqid"))), lambda pair: pair["eqid"]
         ).alias("sub_ids")
     )
-    return numbered.join(ids, "eq_number").select(
-        _eqid(MULTI_PREFIX, "eq_number").alias("eqid"), "sub_ids", "eq_text", "n_occurrences"
+    return numbered.join(ids, "eq_number")
+
+
+def multiline_dictionary(classified: DataFrame, eq_dict: DataFrame) -> DataFrame:
+    """``(eqid, sub_ids, eq_text, n_occurrences)``: distinct multi-line equations, ids of their lines in order."""
+    numbered = dense_ids(distinct_multiline(classified), ["file", "eq_no"], "eq_number")
+    return _with_line_ids(numbered, eq_dict, "n_occurrences").select(
+        _eqid(MULTI_PREFIX, "eq_number").alias("eqid"), "sub_ids", "eq_text", "n_occurrences", "eq_number"
     )
 
 
-def inline_dictionary(inline: DataFrame) -> DataFrame:
-    """``(eqid, eq_text, n_occurrences)``: distinct inline equations, numbered by first occurrence."""
-    distinct = (
+def distinct_inline(inline: DataFrame) -> DataFrame:
+    """One row per inline equation with its first occurrence."""
+    return (
         inline.groupBy(F.col("text").alias("eq_text"))
         .agg(
             F.min(F.struct("file", "eq_no")).alias("first"),
@@ -113,32 +122,79 @@ def inline_dictionary(inline: DataFrame) -> DataFrame:
         )
         .select("eq_text", "first.*", "n_occurrences")
     )
-    numbered = dense_ids(distinct, ["file", "eq_no"], "eq_number")
+
+
+def inline_dictionary(inline: DataFrame) -> DataFrame:
+    """``(eqid, eq_text, n_occurrences)``: distinct inline equations, numbered by first occurrence."""
+    numbered = dense_ids(distinct_inline(inline), ["file", "eq_no"], "eq_number")
     return numbered.select(
         _eqid(INLINE_PREFIX, "eq_number").alias("eqid"), "eq_text", "n_occurrences", "eq_number"
     )
 
 
+def _numbered_after(distinct: DataFrame, prior: DataFrame, key: str, order: list[str], start: int | None) -> DataFrame:
+    """The rows of ``distinct`` whose key an earlier dictionary lacks, numbered from ``start`` on.
+
+    Without a ``start``, from the earlier dictionary's highest number on.  ``prior``
+    may be a part of it that holds all keys in question, if ``start`` is given.
+    """
+    fresh = distinct.join(prior.select(key), key, "left_anti")
+    if start is None:
+        start = prior.agg(F.coalesce(F.max("eq_number") + 1, F.lit(0))).scalar()
+    else:
+        start = F.lit(start)
+    return dense_ids(fresh, order, "place").withColumn("eq_number", start + F.col("place"))
+
+
+def new_equations(classified: DataFrame, prior: DataFrame, start: int | None = None) -> DataFrame:
+    """Rows ``(eqid, eq_key, eq_text, eq_number)`` that an earlier dictionary of single equations lacks."""
+    distinct = distinct_pieces(keyed_pieces(classified))
+    added = _numbered_after(distinct, prior, "eq_key", ["file", "eq_no", "sub_no", "eq_key"], start)
+    return added.select(
+        _eqid(SINGLE_PREFIX, "eq_number").alias("eqid"), "eq_key", _stored(added).alias("eq_text"), "eq_number"
+    )
+
+
+def new_inline(inline: DataFrame, prior: DataFrame, start: int | None = None) -> DataFrame:
+    """Rows ``(eqid, eq_text, eq_number)`` that an earlier dictionary of inline equations lacks."""
+    added = _numbered_after(distinct_inline(inline), prior, "eq_text", ["file", "eq_no"], start)
+    return added.select(_eqid(INLINE_PREFIX, "eq_number").alias("eqid"), "eq_text", "eq_number")
+
+
+def new_multiline(
+    classified: DataFrame, eq_dict: DataFrame, prior: DataFrame, start: int | None = None
+) -> DataFrame:
+    """Rows ``(eqid, sub_ids, eq_text, eq_number)`` that an earlier dictionary of multi-line equations lacks.
+
+    ``eq_dict`` has all single equations, those of the new lines, too.
+    """
+    added = _numbered_after(distinct_multiline(classified), prior, "eq_text", ["file", "eq_no"], start)
+    return _with_line_ids(added, eq_dict, None).select(
+        _eqid(MULTI_PREFIX, "eq_number").alias("eqid"), "sub_ids", "eq_text", "eq_number"
+    )
+
+
+def _extended(prior: DataFrame, added: DataFrame) -> DataFrame:
+    kept = prior.select(*added.columns, F.lit(False).alias("is_new"))
+    return kept.unionByName(added.withColumn("is_new", F.lit(True)))
+
+
 def extend_dictionary(classified: DataFrame, prior: DataFrame) -> DataFrame:
     """Adds new equations to an earlier dictionary, whose ids stay as they are.
 
     Only keys the earlier dictionary lacks are numbered, from its highest number on.
     """
-    fresh = distinct_pieces(keyed_pieces(classified)).join(
-        prior.select("eq_key"), "eq_key", "left_anti"
-    )
-    numbered = dense_ids(fresh, ["file", "eq_no", "sub_no", "eq_key"], "place")
-    start = prior.agg(F.coalesce(F.max("eq_number") + 1, F.lit(0))).scalar()
-    added = numbered.withColumn("eq_number", start + F.col("place"))
-    added = added.select(
-        _eqid(SINGLE_PREFIX, "eq_number").alias("eqid"),
-        "eq_key",
-        _stored(added).alias("eq_text"),
-        "eq_number",
-        F.lit(True).alias("is_new"),
-    )
-    kept = prior.select("eqid", "eq_key", "eq_text", "eq_number", F.lit(False).alias("is_new"))
-    return kept.unionByName(added)
+    return _extended(prior, new_equations(classified, prior))
+
+
+def extend_inline_dictionary(inline: DataFrame, prior: DataFrame) -> DataFrame:
+    """Adds new inline equations to an earlier dictionary, whose ids stay as they are."""
+    return _extended(prior, new_inline(inline, prior))
+
+
+def extend_multiline_dictionary(classified: DataFrame, eq_dict: DataFrame, prior: DataFrame) -> DataFrame:
+    """Adds new multi-line equations to an earlier dictionary; ``eq_dict`` is the extended one of single equations."""
+    return _extended(prior, new_multiline(classified, eq_dict, prior))
 
 
 def assign_ids(

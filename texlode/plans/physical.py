@@ -83,13 +83,23 @@ def materialize(df: DataFrame) -> DataFrame:
     and nothing upstream runs again when executors are lost.
     """
     folder = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{folder.rstrip('/')}/texlode-{uuid.uuid4().hex}"
-    _written.append((df.sparkSession, path))
+    path = own(df.sparkSession, f"{folder.rstrip('/')}/texlode-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Tables that ``materialize`` has written, until they are dropped.
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """Name of a new folder below the checkpoint folder, deleted like the tables of ``materialize``."""
+    return own(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/texlode-{uuid.uuid4().hex}-{kind}")
+
+
+def own(spark: SparkSession, path: str) -> str:
+    """Has ``drop_materialized`` delete a folder, too."""
+    _written.append((spark, path))
+    return path
+
+
+# Folders that are intermediate, until they are dropped.
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -104,7 +114,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def drop_materialized() -> None:
-    """Deletes the tables that ``materialize`` has written; frames that read them are of no more use.
+    """Deletes the tables and folders that are intermediate; frames that read them are of no more use.
 
     A job calls it when its results are written; at the end of the driver it is
     called for what is left.

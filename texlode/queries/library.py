@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from texlode.functions import cleaning, equations, formats, macros
@@ -17,7 +16,7 @@ from texlode.operators import pairing as P
 from texlode.operators import profile as R
 from texlode.operators import significance as S
 from texlode.operators import submissions as U
-from texlode.plans.physical import ensure_checkpoint_dir, materialize
+from texlode.plans.physical import materialize, new_folder
 from texlode.queries.tables import Corpus, plain_types
 from texlode.sources import readers, writers
 from texlode.streaming import incremental
@@ -42,22 +41,22 @@ def query(name: str):
 # --- Sources ---------------------------------------------------------------
 
 
-def _tex_files(c: Corpus) -> DataFrame:
-    """The corpus as files: latin-1 bytes with CR LF line ends under a path."""
-    return c.tex.select(
-        F.concat(F.lit("file:/corpus/"), "file").alias("path"),
+def _tex_files(docs: DataFrame, path: Column | None = None) -> DataFrame:
+    """Texts as files: latin-1 bytes with CR LF line ends under a path."""
+    return docs.select(
+        F.concat(F.lit("file:/corpus/"), "file").alias("path") if path is None else path,
         F.encode(F.replace("text", F.lit("\n"), F.lit("\r\n")), "ISO-8859-1").alias("content"),
     )
 
 
 @query("scan_tex")
 def scan_tex(c):
-    return readers.parse_tex(_tex_files(c))
+    return readers.parse_tex(_tex_files(c.tex))
 
 
 @query("scan_parent")
 def scan_parent(c):
-    docs = readers.parse_tex(_tex_files(c))
+    docs = readers.parse_tex(_tex_files(c.tex))
     return docs.groupBy("dir").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.length("text")).alias("n_chars")
     )
@@ -274,6 +273,25 @@ def resume_ids(c):
     return D.extend_dictionary(classified, prior).select("eqid", "eq_key", "is_new")
 
 
+@query("resume_inline_ids")
+def resume_inline_ids(c):
+    """Inline dictionary of the English documents, extended by the whole corpus."""
+    inline = materialize(X.inline_equations(c.tex))
+    prior = materialize(D.inline_dictionary(inline.join(_in_english(c), "doc_name", "left_semi")))
+    return D.extend_inline_dictionary(inline, prior).select("eqid", "eq_text", "is_new")
+
+
+@query("resume_meq_ids")
+def resume_meq_ids(c):
+    """Multi-line dictionary of the English documents, extended by the whole corpus."""
+    classified = materialize(X.classified_equations(c.tex))
+    english = classified.join(_in_english(c), "doc_name", "left_semi")
+    eqs, meqs = _dictionaries(c, english)
+    eqs = materialize(D.extend_dictionary(classified, eqs))
+    extended = D.extend_multiline_dictionary(classified, eqs, meqs)
+    return extended.select("eqid", F.array_join("sub_ids", ",").alias("sub_ids"), "eq_text", "is_new")
+
+
 @query("enumerated_docs")
 def enumerated_docs(c):
     c.store("tex")
@@ -319,7 +337,7 @@ def write_eq_tsv(c):
 
 def _place(c: Corpus) -> str:
     """A new folder below the checkpoint folder, for what a query writes and reads again."""
-    return f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/texlode-{uuid.uuid4().hex}"
+    return new_folder(c.spark, "written")
 
 
 @query("write_inline_tsv")
@@ -664,7 +682,7 @@ def macro_outcomes(c):
 
 def _stream(c: Corpus) -> tuple[DataFrame, str]:
     """The corpus as a stream of Parquet files, and a folder for what it leaves."""
-    folder = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/texlode-{uuid.uuid4().hex}"
+    folder = new_folder(c.spark, "stream")
     c.tex.write.parquet(f"{folder}/documents")
     return incremental.stream_documents(c.spark, f"{folder}/documents", files_per_batch=4), folder
 
@@ -672,8 +690,18 @@ def _stream(c: Corpus) -> tuple[DataFrame, str]:
 @query("stream_packages")
 def stream_packages(c):
     docs, folder = _stream(c)
-    counts = incremental.running_packages(docs)
-    incremental.stream_counts(counts, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    incremental.stream_counts(
+        docs, incremental.running_packages, f"{folder}/out", f"{folder}/progress"
+    ).awaitTermination()
+    return incremental.latest_counts(c.spark, f"{folder}/out")
+
+
+@query("stream_environments")
+def stream_environments(c):
+    docs, folder = _stream(c)
+    incremental.stream_counts(
+        docs, incremental.running_environments, f"{folder}/out", f"{folder}/progress"
+    ).awaitTermination()
     return incremental.latest_counts(c.spark, f"{folder}/out")
 
 
@@ -685,11 +713,82 @@ def stream_eq_keys(c):
     return incremental.read_dictionary(c.spark, f"{folder}/out").select("eq_key")
 
 
+def _numbers(table: DataFrame) -> DataFrame:
+    return table.agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("eqid").alias("n_ids"), F.max("eq_number").alias("last")
+    )
+
+
 @query("stream_eq_ids")
 def stream_eq_ids(c):
     """Numbers of the dictionary that grew batch by batch: each once, none left out."""
     docs, folder = _stream(c)
     incremental.stream_dictionary(docs, f"{folder}/out", f"{folder}/progress").awaitTermination()
-    return incremental.read_dictionary(c.spark, f"{folder}/out").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("eqid").alias("n_ids"), F.max("eq_number").alias("last")
+    return _numbers(incremental.read_dictionary(c.spark, f"{folder}/out"))
+
+
+@query("stream_inline_ids")
+def stream_inline_ids(c):
+    """The same of inline equations."""
+    docs, folder = _stream(c)
+    incremental.stream_inline_dictionary(docs, f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return _numbers(incremental.read_dictionary(c.spark, f"{folder}/out", schema=incremental.INLINE_SCHEMA))
+
+
+@query("stream_meq_ids")
+def stream_meq_ids(c):
+    """Multi-line equations of the dictionary that grew batch by batch, with the keys that their lines' ids name."""
+    docs, folder = _stream(c)
+    incremental.stream_multiline_dictionary(
+        docs, f"{folder}/out", f"{folder}/single", f"{folder}/progress"
+    ).awaitTermination()
+    meqs = incremental.read_dictionary(c.spark, f"{folder}/out", schema=incremental.MULTILINE_SCHEMA)
+    lines = meqs.select("eq_text", F.posexplode("sub_ids").alias("sub_no", "eqid"))
+    eqs = incremental.read_dictionary(c.spark, f"{folder}/single").select("eqid", "eq_key")
+    return lines.join(eqs, "eqid").select("eq_text", "sub_no", "eq_key")
+
+
+# --- Files -----------------------------------------------------------------
+
+
+def _laid_out(c: Corpus, files: DataFrame, kind: str) -> str:
+    """Writes ``(path, content)`` as files below a folder of the shared store."""
+    folder = new_folder(c.spark, kind)
+    writers.write_files(files, folder)
+    return folder
+
+
+@query("scan_folder")
+def scan_folder(c):
+    """All files of the corpus, whatever their ending, written to folders and scanned from them."""
+    named = F.concat_ws("/", "dir", F.concat("doc_name", F.lit(".txt"))).alias("path")
+    folder = _laid_out(c, _tex_files(c.tex, named), "folder")
+    return readers.read_tex_parent(c.spark, folder, glob=None).select("dir", "file", "text")
+
+
+@query("scan_submissions")
+def scan_submissions(c):
+    """Submission folders, written as files and scanned with all folders below them."""
+    named = F.concat_ws("/", "folder", F.lit("src"), "rel_path").alias("path")
+    return readers.read_submissions(c.spark, _laid_out(c, _tex_files(c.submissions, named), "submissions"))
+
+
+@query("read_eq_json_files")
+def read_eq_json_files(c):
+    """Equation objects of JSON files, one array each."""
+    c.store("tex")
+    arrays = P.equations_json(_paired(c))
+    named = arrays.select(F.concat("file", F.lit(".json")).alias("path"), F.encode("json", "UTF-8").alias("content"))
+    return readers.read_equation_json(c.spark, _laid_out(c, named, "json")).select(
+        "file", "text", "prevtext", "index", "pos", "mathml"
     )
+
+
+@query("rejects_table")
+def rejects_table(c):
+    """Rejects of two runs, the first of which was repeated."""
+    c.store("tex")
+    folder = new_folder(c.spark, "rejects")
+    for run in ("one", "two", "one"):
+        writers.write_rejects(_rejects(c), folder, run)
+    return c.spark.read.parquet(folder).select("run", "op", "file", "reason", "detail")

@@ -395,6 +395,39 @@ oracle(
     "SELECT 'EQDS' || ((SELECT count(*) FROM eq_dict_en) + row_number() OVER (ORDER BY eq_number) - 1) || 'Q', eq_key, true "
     "FROM eq_dict WHERE eq_key NOT IN (SELECT eq_key FROM eq_dict_en)",
 )
+_RESUMED = [
+    cte("eq_dict_ext",
+        "SELECT eqid, eq_key, eq_number FROM eq_dict_en UNION ALL SELECT "
+        "'EQDS' || ((SELECT count(*) FROM eq_dict_en) + row_number() OVER (ORDER BY eq_number) - 1) || 'Q', eq_key, "
+        "(SELECT count(*) FROM eq_dict_en) + row_number() OVER (ORDER BY eq_number) - 1 "
+        "FROM eq_dict WHERE eq_key NOT IN (SELECT eq_key FROM eq_dict_en)"),
+    multi_dictionary("meq_dict_en", "eq_dict_en", "sublines_en"),
+    multi_dictionary("meq_dict_all", "eq_dict_ext"),
+]
+oracle(
+    "resume_meq_ids",
+    _ENGLISH + [dictionary("eq_dict"), *_RESUMED],
+    "SELECT eqid, sub_ids, eq_text, false AS is_new FROM meq_dict_en UNION ALL "
+    "SELECT 'EQDM' || ((SELECT count(*) FROM meq_dict_en) + "
+    "row_number() OVER (ORDER BY CAST(regexp_extract(eqid, '[0-9]+') AS BIGINT)) - 1) || 'Q', sub_ids, eq_text, true "
+    "FROM meq_dict_all WHERE eq_text NOT IN (SELECT eq_text FROM meq_dict_en)",
+)
+oracle(
+    "resume_inline_ids",
+    _INLINE + [
+        _ENGLISH[len(_KINDS) + 1],
+        cte("inline_en",
+            "SELECT text, min((file, eq_no)) AS first FROM inline_rows JOIN english USING (file) GROUP BY text"),
+        cte("inline_new",
+            "SELECT r.text, min((r.file, r.eq_no)) AS first FROM inline_rows r LEFT JOIN inline_en e ON e.text = r.text "
+            "WHERE e.text IS NULL GROUP BY r.text"),
+        cte("known", "SELECT row_number() OVER (ORDER BY first) - 1 AS n, text FROM inline_en"),
+        cte("start", "SELECT count(*) AS s FROM inline_en"),
+        cte("added", "SELECT s + row_number() OVER (ORDER BY first) - 1 AS n, text FROM inline_new CROSS JOIN start"),
+    ],
+    "SELECT 'EQIX' || n || 'Q' AS eqid, text AS eq_text, false AS is_new FROM known UNION ALL "
+    "SELECT 'EQIX' || n || 'Q', text, true FROM added",
+)
 _ASSIGNED = cte(
     "assigned",
     "SELECT k.*, coalesce(d.eqid, m.eqid) AS eqid FROM classified k LEFT JOIN eq_dict d ON d.eq_key = k.flat_eq "
@@ -808,3 +841,26 @@ oracle(
     "stream_eq_ids", _DICT,
     "SELECT count(*) AS n, count(*) AS n_ids, count(*) - 1 AS last FROM eq_dict",
 )
+oracle("stream_environments", _KINDS, "SELECT env, count(*) AS n FROM classified GROUP BY env")
+oracle(
+    "stream_inline_ids", _INLINE,
+    "SELECT count(DISTINCT text) AS n, count(DISTINCT text) AS n_ids, count(DISTINCT text) - 1 AS last FROM inline_rows",
+)
+oracle(
+    "stream_meq_ids", _KINDS + [LINES],
+    "SELECT DISTINCT text AS eq_text, sub_no, eq_key FROM sublines",
+)
+oracle("scan_folder", [TEX], "SELECT dir, replace(file, '.tex', '.txt') AS file, text FROM tex")
+oracle(
+    "scan_submissions", [SUBMISSIONS],
+    "SELECT folder, 'src/' || rel_path AS rel_path, text FROM files WHERE rel_path LIKE '%.tex'",
+)
+oracle(
+    "read_eq_json_files", _PAIRED + [OBJECTS],
+    "SELECT file, text, prevtext, index, pos, mathml FROM objects",
+)
+oracle(
+    "rejects_table", _PAIRED + [LOG],
+    f"SELECT run, op, file, reason, detail FROM ({_NO_BODY} UNION ALL {_MISMATCH} UNION ALL "
+    "SELECT 'convert', file, trim(message), '' FROM log) CROSS JOIN (VALUES ('one'), ('two')) runs(run)",
+)

@@ -1,7 +1,14 @@
-"""Writers: equation tables, JSON, text per document, rejects, listings."""
+"""Writers: equation tables, JSON, files and text per document, rejects, listings."""
 
 from __future__ import annotations
 
+import posixpath
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +39,44 @@ def write_texts(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").partitionBy("dir").parquet(path)
 
 
-def append_rejects(rejects: DataFrame, path: str) -> None:
-    rejects.select("op", "file", "reason", "detail").write.mode("append").partitionBy("op").parquet(path)
+def write_files(files: DataFrame, folder: str) -> None:
+    """One file per row ``(path, content)`` below a folder that all executors reach.
+
+    Tasks write their own rows.  A file gets its name once it is whole, so a task
+    that is lost leaves nothing that a scan would read, and its repetition writes
+    the same files again.
+    """
+    place = re.sub("^file:/+", "/", folder.rstrip("/"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(place)
+        made: set[str] = set()
+        for batch in batches:
+            rows = zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True)
+            for path, content in rows:
+                target = posixpath.join(root, path)
+                parent = posixpath.dirname(target)
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                part = posixpath.join(parent, f".{uuid.uuid4().hex}")
+                with system.open_output_stream(part) as out:
+                    out.write(content)
+                system.move(part, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    files.select("path", "content").mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
+
+
+def write_rejects(rejects: DataFrame, path: str, run: str) -> None:
+    """Rejects of one run, by operation; a run that is repeated overwrites its own rows only."""
+    (
+        rejects.select("op", "file", "reason", "detail", F.lit(run).alias("run"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run", "op")
+        .parquet(path)
+    )
 
 
 def write_categories(categories: DataFrame, path: str) -> None:
