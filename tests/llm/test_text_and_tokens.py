@@ -55,6 +55,38 @@ def test_encoder_equals_library(texts):
         assert coder.decode(ids[i:j], coder.offsets(ids[i:j])) == text.encode()
 
 
+def test_pattern_is_the_one_that_the_automaton_has():
+    assert public_tokenizers.PATTERN == r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+@pytest.mark.parametrize("before, after", [("", ""), ("a", "b "), ("1", "2 "), (" ", "  "), ("!", "'s")])
+def test_every_code_point_as_the_libraries(library, tokenizer, before, after):
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    coders = [(codec(MULTI), library.encode_ordinary), (codec(public_tokenizers.path("byte_bpe_50k.tiktoken")), None)]
+    for first in range(0, len(chars), 1 << 16):
+        part = chars[first : first + (1 << 16)]
+        texts = ["".join(f"{before}{c}{after}" for c in part[i : i + 256]) for i in range(0, len(part), 256)]
+        for coder, encode in coders:
+            ids, counts = coder.encode(texts)
+            bounds = np.append(0, np.cumsum(counts)).tolist()
+            if encode:
+                want = [encode(text) for text in texts]
+            else:
+                want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aeiotnshrl"), max_size=60), min_size=1, max_size=40))
+def test_merges_of_random_letters(texts):
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(MULTI), special_tokens={}
+    )
+    ids, counts = codec(MULTI).encode(texts)
+    bounds = np.append(0, np.cumsum(counts)).tolist()
+    assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == [library.encode_ordinary(t) for t in texts]
+
+
 def test_op9(spark, folder, docs_list, library):
     want = []
     for doc, text in docs_list:

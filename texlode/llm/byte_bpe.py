@@ -14,11 +14,12 @@ from __future__ import annotations
 import base64
 import heapq
 import sys
-import unicodedata
 from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import tiktoken
 
 # Code points that one pass handles; a longer text is a pass of its own.
 PASS_CHARS = 1 << 20
@@ -33,10 +34,7 @@ TOGETHER_BYTES = 64
 # No merge.
 NO_RANK = 1 << 40
 
-# --- Fixed values: white space, and the contractions that are slices ---------
-WHITE_SPACE = (
-    *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
-)
+# --- Fixed values: the contractions that are slices ---------------------------
 ONE_LETTER = "stmd"
 TWO_LETTERS = ("re", "ve", "ll")
 
@@ -74,17 +72,27 @@ def _automaton() -> tuple[np.ndarray, np.ndarray]:
 STEP, CUT = _automaton()
 
 
+def library_class(pattern: str) -> np.ndarray:
+    """Code points that a class of the library's patterns holds.
+
+    The library's version of Unicode decides, not Python's.  An encoding of single
+    bytes that knows the class alone gives back just the characters in it.
+    """
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, sys.maxunicode + 1))))
+    encoding = tiktoken.Encoding(
+        "class", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={}
+    )
+    found = bytes(encoding.encode_ordinary(every)).decode()
+    return np.frombuffer(found.encode("utf-32-le"), dtype="<u4")
+
+
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
     """Letter, number, other, blank or white space, for every code point."""
     table = np.full(sys.maxunicode + 1, OTHER, dtype=np.uint8)
-    for code in range(sys.maxunicode + 1):
-        kind = unicodedata.category(chr(code))[0]
-        if kind == "L":
-            table[code] = LETTER
-        elif kind == "N":
-            table[code] = NUMBER
-    table[list(WHITE_SPACE)] = WHITE_ON
+    table[library_class(r"\p{L}")] = LETTER
+    table[library_class(r"\p{N}")] = NUMBER
+    table[library_class(r"\s")] = WHITE_ON
     table[0x20] = SPACE_ON
     return table
 
@@ -194,8 +202,9 @@ class Merges(dict):
     """Slice to the number of its entry; entries hold token ids.
 
     New slices are merged together: in each round, each slice merges its pair of
-    lowest rank wherever it stands, from the left.  (A token made by a merge only
-    takes part in pairs of higher rank, so the order is that of single merges.)
+    lowest rank wherever it stands, from the left.  That is the order of single
+    merges as long as a merge makes no pair of a lower rank than its own next to
+    another place of the same pair; the tests compare random text with the library.
     """
 
     def __init__(self, ranks: dict[bytes, int]):

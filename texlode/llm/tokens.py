@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from texlode.llm.byte_bpe import codec, text_passes
+from texlode.plans.physical import materialize
 
 # Lengths whose suffix sums one task makes.
 LENGTHS_PER_TASK = 1024
@@ -118,6 +119,8 @@ def length_histogram(counts: DataFrame, limits: list[int] = ()) -> DataFrame:
         listed = counts.sparkSession.createDataFrame([(n,) for n in limits], "length bigint")
         listed = listed.select("length", F.lit(0).cast("bigint").alias("n_docs"))
         exact = exact.unionByName(listed).groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
+    # Written once: what follows reads it twice, and the texts are not encoded again.
+    exact = materialize(exact)
     exact = exact.withColumn("part", F.floor(F.col("length") / LENGTHS_PER_TASK))
     tokens = F.col("length") * F.col("n_docs")
     parts = exact.groupBy("part").agg(F.sum("n_docs").alias("docs"), F.sum(tokens).alias("tokens"))
