@@ -117,7 +117,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _later(docs: DataFrame, width: int) -> DataFrame:
     """``(doc_id, tag, cuts)`` of the documents that lose words."""
-    spec = Spec(width, width // 2, words=True)
+    # A shorter minimiser makes fewer and longer spans, but one that is too short repeats by chance.
+    spec = Spec(width, width // 3 + 1, words=True)
     marked = candidates(docs, spec)
     pieces = pack(docs, representatives(marked), spec)
     found = repeated(pieces, spec, _compare(width), drop_first=True)
