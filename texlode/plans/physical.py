@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import weakref
 
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -85,7 +86,22 @@ def materialize(df: DataFrame) -> DataFrame:
     folder = ensure_checkpoint_dir(df.sparkSession)
     path = own(df.sparkSession, f"{folder.rstrip('/')}/texlode-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _tables[table] = path
+    return table
+
+
+# Paths of tables that are still in use.
+_tables: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialize`` that no later step reads, nor any frame that is not written yet."""
+    for table in tables:
+        path = _tables.pop(table)
+        _written.remove((table.sparkSession, path))
+        files, place = _hadoop_path(table.sparkSession, path)
+        files.delete(place, True)
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
