@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from texlode.llm.batches import CHUNK_BYTES, Polynomial, Words, column_bytes, signed, text_chunks
-from texlode.plans.physical import materialize
+from texlode.plans.physical import materialize, release
 
 # Different strings that one bucket may sort; larger buckets are split.
 BUCKET_STRINGS = 16
@@ -187,8 +187,12 @@ def candidates(docs: DataFrame, spec: Spec) -> DataFrame:
     # Stored, so that Spark can split the large partitions of hot keys in the joins.
     shared = materialize(shared)
     kept = materialize(stored.join(shared, "key", "left_semi"))
+    release(stored, shared)
     merged = kept.groupBy("key", "fp").agg(F.count(F.lit(1)).alias("copies"), F.min(place()).alias("first"))
-    return materialize(kept.join(materialize(merged), ["key", "fp"]))
+    merged = materialize(merged)
+    marked = materialize(kept.join(merged, ["key", "fp"]))
+    release(kept, merged)
+    return marked
 
 
 def representatives(marked: DataFrame) -> DataFrame:
