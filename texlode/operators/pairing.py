@@ -100,6 +100,13 @@ def equation_objects(paired: DataFrame) -> DataFrame:
     return explode_rows(ready, "items", "eq_no", "item", []).select("eq_no", "item.*")
 
 
+def equation_rows(paired: DataFrame) -> DataFrame:
+    """``(file, eq_no, text, mathml)`` of the same equations, without their context."""
+    items = F.transform("eqs", lambda eq, n: F.struct(eq.alias("text"), F.get("mathml", n).alias("mathml")))
+    ready = paired.filter(F.col("reason").isNull()).select("file", items.alias("items"))
+    return explode_rows(ready, "items", "eq_no", "item", ["file"]).select("file", "eq_no", "item.*")
+
+
 def equations_json(paired: DataFrame) -> DataFrame:
     """One JSON array of equation objects per document, in reading order."""
     ready = paired.filter(F.col("reason").isNull())

@@ -421,13 +421,16 @@ def read_eq_json(c):
 
 def _identified(c: Corpus):
     eqs, meqs = _dictionaries(c)
-    return materialize(P.attach_ids(_objects(c), eqs, meqs)), eqs, meqs
+    rows = P.attach_ids(P.equation_rows(_paired(c)), eqs, meqs)
+    return materialize(rows.select("file", "eq_no", "eqid", "mathml")), eqs, meqs
 
 
 @query("eq_docs")
 def eq_docs(c):
+    """Counts need no MathML and no context, so ids and files are all that is stored."""
     c.store("tex")
-    return P.document_counts(_identified(c)[0])
+    rows = P.equation_rows(_paired(c)).select("file", "text")
+    return P.document_counts(P.attach_ids(rows, *_dictionaries(c)))
 
 
 @query("eq_mathml")
@@ -606,6 +609,14 @@ def brace_groups(c):
     )
 
 
+@query("bracket_groups")
+def bracket_groups(c):
+    """The same of square brackets."""
+    return U.brace_groups(c.tex, opening="[", closing="]").select(
+        "file", "open_pos", F.coalesce("close_pos", F.lit(-1)).alias("close_pos"), "depth"
+    )
+
+
 @query("main_files")
 def main_files(c):
     return U.main_files(c.submissions)

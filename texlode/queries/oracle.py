@@ -703,6 +703,23 @@ oracle(
     ],
     "SELECT file, pos AS open_pos, coalesce(close_pos, -1) AS close_pos, depth FROM closed WHERE ch = '{'",
 )
+oracle(
+    "bracket_groups",
+    [
+        TEX,
+        cte("signs",
+            r"SELECT file, string_split(regexp_replace(text, '(?s)\\[\\\[\]]', '  ', 'g'), '') AS cs FROM tex"),
+        cte("marks",
+            "SELECT * FROM (SELECT file, unnest(cs) AS ch, generate_subscripts(cs, 1) - 1 AS pos FROM signs) WHERE ch IN ('[', ']')"),
+        cte("sums",
+            "SELECT *, CAST(sum(CASE WHEN ch = '[' THEN 1 ELSE -1 END) OVER (PARTITION BY file ORDER BY pos) AS BIGINT) AS s FROM marks"),
+        cte("levels", "SELECT *, CASE WHEN ch = '[' THEN s ELSE s + 1 END AS depth FROM sums"),
+        cte("closed",
+            "SELECT *, min(CASE WHEN ch = ']' THEN pos END) OVER (PARTITION BY file, depth ORDER BY pos "
+            "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS close_pos FROM levels"),
+    ],
+    "SELECT file, pos AS open_pos, coalesce(close_pos, -1) AS close_pos, depth FROM closed WHERE ch = '['",
+)
 
 SUBMISSIONS = cte("files", C.submissions_sql(D)) + ", " + cte(
     "mains",
