@@ -221,6 +221,18 @@ def test_op5_edge_cases(spark, folder, docs_list):
     assert scores[400] == scores[401] and all(0 <= s <= 1 for s in scores.values())
 
 
+def test_fit_warns_of_nothing_when_scores_saturate():
+    import warnings
+
+    rnd = np.random.default_rng(1)
+    positive = rnd.normal(50, 1, (300, 3)).astype(np.float32)
+    mixed = np.concatenate((positive[:20], rnd.normal(-50, 1, (300, 3)))).astype(np.float32)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        model = quality_classifier.fit(positive, mixed)
+    assert np.isfinite(model.weights).all() and (model.score(positive) > 0.5).all()
+
+
 def test_prior_of_mixture():
     rnd = np.random.default_rng(0)
     positive = rnd.normal(2, 1, (4000, 4))

@@ -161,19 +161,23 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, rounds: int, rid
     weights, bias = np.zeros(p.shape[1], dtype=p.dtype), p.dtype.type(0)
     m, v = np.zeros(p.shape[1] + 1), np.zeros(p.shape[1] + 1)
 
-    def sides(x):
-        return 1 / (1 + np.exp(-np.clip(x @ weights + bias, -30, 30)))
+    def margins(x):
+        return np.clip(x @ weights + bias, -30, 30)
+
+    def sides(z):
+        return 1 / (1 + np.exp(-z))
 
     def gradient(x, slope):
         return np.append(slope @ x, slope.sum()) / len(x)
 
     for t in range(1, rounds + 1):
-        sp, su = sides(p), sides(u)
+        zp, zu = margins(p), margins(u)
+        sp, su = sides(zp), sides(zu)
         if prior is None:
             step = gradient(p, sp - 1) + gradient(u, su)
         else:
             # Losses of calling text negative: log(1 + exp(f)).
-            loss_u, loss_p = -np.log1p(-su + 1e-12).mean(), -np.log1p(-sp + 1e-12).mean()
+            loss_u, loss_p = np.logaddexp(0, zu).mean(), np.logaddexp(0, zp).mean()
             rest = gradient(u, su) - prior * gradient(p, sp)
             if loss_u - prior * loss_p >= 0:
                 step = prior * gradient(p, sp - 1) + rest
@@ -204,14 +208,16 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fits on the documents whose fold is not 0: at most the numbers above, by order of a digest."""
+def train(
+    docs: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVES, unlabelled: int = MAX_UNLABELLED
+) -> Model:
+    """Fits on the documents whose fold is not 0: at most so many of each kind, by order of a digest."""
     learnable = docs.filter(fold(F.col("doc_id")) != 0).select("doc_id", "text")
     trusted = labels.filter((F.col("quality") == 1) & (fold(F.col("doc_id")) != 0)).select("doc_id").distinct()
     order = F.xxhash64(F.col("doc_id"), F.lit("fit"))
     # Ids first, so that only the texts of the sample are sorted and sent.
-    p_ids = trusted.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(MAX_POSITIVES)
-    u_ids = learnable.select("doc_id").distinct().orderBy(order.desc(), "doc_id").limit(MAX_UNLABELLED)
+    p_ids = trusted.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(positives)
+    u_ids = learnable.select("doc_id").distinct().orderBy(order.desc(), "doc_id").limit(unlabelled)
     wanted = p_ids.withColumn("positive", F.lit(True)).unionByName(u_ids.withColumn("positive", F.lit(False)))
     sample = learnable.join(F.broadcast(wanted), "doc_id").select("positive", "text")
     rows = sample.mapInArrow(_feature_rows, "positive boolean, x binary").toArrow()
@@ -251,9 +257,15 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, score double")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def quality_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    positives: int = MAX_POSITIVES,
+    unlabelled: int = MAX_UNLABELLED,
+) -> DataFrame:
     """``held_out``, ``score`` and ``predicted`` of every document."""
-    scored = score_documents(docs, train(docs, labels))
+    scored = score_documents(docs, train(docs, labels, positives, unlabelled))
     return scored.select(
         "doc_id",
         (fold(F.col("doc_id")) == 0).alias("held_out"),
