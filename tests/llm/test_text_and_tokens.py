@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from texlode.llm import quality_classifier, sharding
+from texlode.llm import batches, quality_classifier, sharding
 from texlode.llm.byte_bpe import codec, load_ranks
 from texlode.llm.packing import balance
 from texlode.llm.queries import CONTEXT_LIMITS, QUERIES
@@ -221,6 +221,54 @@ def test_op5_edge_cases(spark, folder, docs_list):
     assert scores[400] == scores[401] and all(0 <= s <= 1 for s in scores.values())
 
 
+def _plain_scores(rows, labels, positives=10**6, unlabelled=10**6):
+    """The scores by a plain loop over texts: sample, prior and fit without Spark."""
+    texts, polynomial = {}, batches.Polynomial(41)
+    for doc_id, text in rows:
+        texts.setdefault(doc_id, []).append((text or "").encode())
+    learnable = [d for d in texts if d is not None and zlib.crc32(str(d).encode()) % 5]
+    x_of = {d: [quality_classifier.features([t], polynomial)[0] for t in texts[d]] for d in learnable}
+    smallest = {d: x_of[d][texts[d].index(min(texts[d]))] for d in learnable}
+    by = sorted(learnable, key=lambda d: (int(batches.mix(np.array([d], dtype=np.uint64))[0]), d))
+    good = {d for d, quality, _ in labels if quality == 1}
+    p_ids = [d for d in by if d in good][:positives]
+    u_ids = by[:unlabelled]
+    seen = {*p_ids[::2], *u_ids[::2]}
+
+    def count(first, cuts):
+        margins = [first.margin(x[None])[0] for d in learnable if d not in seen for x in x_of[d]]
+        return np.array([sum((cuts <= m).sum() == n for m in margins) for n in range(len(cuts) + 1)])
+
+    model = quality_classifier.fit(
+        np.array([smallest[d] for d in p_ids]), np.array([smallest[d] for d in u_ids]), count=count
+    )
+    scores = [float(model.score(quality_classifier.features([(t or "").encode()], polynomial))[0]) for _, t in rows]
+    return scores, model.prior
+
+
+def test_op5_against_plain_version(spark, as_frame, docs_list):
+    labels = [(d, int((d or 0) % 4 > 0), 0) for d, _ in docs_list]
+    frame = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    want, prior = _plain_scores(docs_list, labels)
+    docs = as_frame(docs_list).repartition(3)
+    model = quality_classifier.train(docs, frame)
+    assert abs(model.prior - prior) < 1e-6
+    got = sorted((r.doc_id or -1, r.score) for r in quality_classifier.quality_scores(docs, frame).collect())
+    expected = sorted((d or -1, s) for (d, _), s in zip(docs_list, want))
+    assert [d for d, _ in got] == [d for d, _ in expected]
+    assert np.allclose([s for _, s in got], [s for _, s in expected], atol=1e-3)
+
+
+def test_op5_prior_counts_documents_beyond_the_sample(spark, as_frame):
+    rnd = np.random.default_rng(2)
+    word = ["".join(rnd.choice(list("abcdefgh"), 5)) for _ in range(300)]
+    good = [(i, " ".join(rnd.choice(word, 60))) for i in range(0, 900, 3)]
+    bad = [(i, "$$ ## !! " * 20 + " ".join(rnd.choice(word, 20))) for i in range(900) if i % 3]
+    frame = spark.createDataFrame([(d, 1, 0) for d, _ in good[::2]], "doc_id bigint, quality int, toxic int")
+    model = quality_classifier.train(as_frame(good + bad).repartition(4), frame, positives=80, unlabelled=40)
+    assert abs(model.prior - 1 / 3) < 0.08
+
+
 def test_fit_warns_of_nothing_when_scores_saturate():
     import warnings
 

@@ -8,11 +8,15 @@ by the best bin: the score above which the unlabelled text is rarest compared
 with held-back positives.
 
 The features are rates of bytes, words, lines and byte trigrams of the whole
-text.  Features of a bounded, documented sample come to the driver for the fit;
-every document is scored.
+text.  Features of a bounded, documented sample, one text for each id, come to
+the driver for the fit.  The class prior counts all documents that labels may be
+learned from, but for those that the first model has seen: each task counts its
+documents between the scores of the held-back positives, and only these counts
+come to the driver.  Every document is scored.
 
 Defined results: a null or empty text has the features of an empty one and is
-scored by them; repeated rows score alike; columns other than ``doc_id`` and
+scored by them; repeated rows score alike; of an id with several texts, the fit
+may see the smallest one; columns other than ``doc_id`` and
 ``text`` are never inputs; an empty table gives no rows.  A document of the
 labels counts as positive if any of its labels is 1.  Without any positives, or
 without other text, every score is the prior of one half.
@@ -20,7 +24,7 @@ without other text, every score is the prior of one half.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -128,8 +132,12 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i, j in text_chunks(texts):
             rows = features(texts[i:j], polynomial)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("positive").slice(i, j - i), pa.array([r.tobytes() for r in rows], pa.binary())],
-                names=["positive", "x"],
+                [
+                    batch.column("doc_id").slice(i, j - i),
+                    batch.column("positive").slice(i, j - i),
+                    pa.array([r.tobytes() for r in rows], pa.binary()),
+                ],
+                names=["doc_id", "positive", "x"],
             )
 
 
@@ -141,17 +149,29 @@ class Model:
     bias: float
     prior: float
 
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights + self.bias
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.margin(x), -30, 30)))
+
+
+def bins(margins: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """How many margins have 0, 1, ... of the ascending cuts at or below them."""
+    return np.bincount(np.searchsorted(cuts, margins, side="right"), minlength=len(cuts) + 1)
+
 
+def class_prior(positive: np.ndarray, cuts: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Best-bin estimate: the smallest ratio of the shares of both at or above a cut.
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: int = 30) -> float:
-    """Best-bin estimate: the smallest ratio of the shares of both above a score."""
-    cuts = np.sort(positive)[: max(1, len(positive) - least)]
+    ``positive`` has margins; of the unlabelled text, the counts of ``bins`` are enough.
+    """
+    n = int(unlabelled.sum())
+    if not n:
+        return 0.5
     above_p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
-    above_u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    slack = np.sqrt(1 / len(positive)) + np.sqrt(1 / len(unlabelled))
+    above_u = 1 - np.cumsum(unlabelled[:-1]) / n
+    slack = np.sqrt(1 / len(positive)) + np.sqrt(1 / n)
     best = np.argmin((above_u + slack) / above_p)
     return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
 
@@ -190,16 +210,33 @@ def _descend(p: np.ndarray, u: np.ndarray, prior: float | None, rounds: int, rid
     return weights, bias
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, rounds: int = 400) -> Model:
-    """Model of trusted positives and unlabelled text, given as rows of features."""
+def fit(
+    positive: np.ndarray,
+    unlabelled: np.ndarray,
+    rounds: int = 400,
+    count: Callable[[Model, np.ndarray], np.ndarray] | None = None,
+    least: int = 30,
+) -> Model:
+    """Model of trusted positives and unlabelled text, given as rows of features.
+
+    ``count`` gives the counts of ``bins`` of unlabelled text that a first model has
+    not seen; without it, the odd rows are counted.  The first model sees the even
+    rows.  Every cut has more than ``least`` positives above it, if there are as many.
+    """
     width = (positive if len(positive) else unlabelled).shape[1]
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 0.5)
     mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
     p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
+    prior = 0.5
     # Positives that the first model does not see estimate the prior.
-    weights, bias = _descend(p[::2], u[::2], None, rounds // 2)
-    prior = class_prior(p[1::2] @ weights + bias, u[1::2] @ weights + bias) if len(p) > 1 and len(u) > 1 else 0.5
+    if len(p) > 1:
+        weights, bias = _descend(p[::2], u[::2], None, rounds // 2)
+        first = Model(mean, scale, weights, float(bias), prior)
+        held_back = first.margin(positive[1::2])
+        cuts = np.sort(held_back)[: max(1, len(held_back) - least)]
+        counts = bins(first.margin(unlabelled[1::2]), cuts) if count is None else count(first, cuts)
+        prior = class_prior(held_back, cuts, counts)
     weights, bias = _descend(p, u, prior, rounds)
     return Model(mean, scale, weights, float(bias), prior)
 
@@ -208,36 +245,62 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
+def _count_bins(texts: DataFrame, model: Model, cuts: np.ndarray) -> np.ndarray:
+    """Counts of ``bins`` over a frame of texts; a task gives no more rows than there are cuts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        polynomial = Polynomial(41)
+        total = np.zeros(len(cuts) + 1, dtype=np.int64)
+        for batch in batches:
+            rows = column_bytes(batch.column("text"))
+            for i, j in text_chunks(rows):
+                total += bins(model.margin(features(rows[i:j], polynomial)), cuts)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held])], names=["bin", "n"])
+
+    counted = texts.select("text").mapInArrow(run, "bin int, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
+    totals = np.zeros(len(cuts) + 1, dtype=np.int64)
+    for row in counted.collect():
+        totals[row["bin"]] = row["n"]
+    return totals
+
+
 def train(
     docs: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVES, unlabelled: int = MAX_UNLABELLED
 ) -> Model:
-    """Fits on the documents whose fold is not 0: at most so many of each kind, by order of a digest."""
-    learnable = docs.filter(fold(F.col("doc_id")) != 0).select("doc_id", "text")
-    trusted = labels.filter((F.col("quality") == 1) & (fold(F.col("doc_id")) != 0)).select("doc_id").distinct()
+    """Fits on the documents whose fold is not 0: at most so many of each kind, by order of a digest.
+
+    The class prior counts all of these documents, beyond the sample, too.
+    """
+    spark = docs.sparkSession
+    rows_of = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    learnable = rows_of.filter(fold(F.col("doc_id")) != 0)
+    trusted = (
+        labels.filter((F.col("quality") == 1) & (fold(F.col("doc_id")) != 0))
+        .select(F.col("doc_id").cast("bigint").alias("doc_id"))
+        .distinct()
+    )
     order = F.xxhash64(F.col("doc_id"), F.lit("fit"))
     # Ids first, so that only the texts of the sample are sorted and sent.
-    p_ids = trusted.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(positives)
+    p_ids = trusted.join(rows_of.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(positives)
     u_ids = learnable.select("doc_id").distinct().orderBy(order.desc(), "doc_id").limit(unlabelled)
     wanted = p_ids.withColumn("positive", F.lit(True)).unionByName(u_ids.withColumn("positive", F.lit(False)))
-    sample = learnable.join(F.broadcast(wanted), "doc_id").select("positive", "text")
-    rows = sample.mapInArrow(_feature_rows, "positive boolean, x binary").toArrow()
+    sample = learnable.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "positive").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = sample.mapInArrow(_feature_rows, "doc_id bigint, positive boolean, x binary").toArrow()
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float32)
     x = x.reshape(rows.num_rows, -1) if rows.num_rows else np.zeros((0, 1), dtype=np.float32)
-    # One order, whatever the order of arrival.
-    x_positive = np.asarray(rows.column("positive").to_pylist(), dtype=bool)
-    by = np.lexsort((x[:, : min(8, x.shape[1])].T)) if len(x) else np.zeros(0, dtype=np.int64)
-    by = by[np.argsort(_scatter(x[by]), kind="stable")] if len(x) else by
-    x, x_positive = x[by], x_positive[by]
-    return fit(x[x_positive], x[~x_positive])
-
-
-def _scatter(x: np.ndarray) -> np.ndarray:
-    """A digest of each row, so that halves of the sample are alike."""
-    bits = np.ascontiguousarray(x[:, :8]).view(np.uint32).astype(np.uint64)
-    out = np.zeros(len(x), dtype=np.uint64)
-    for column in bits.T:
-        out = mix(out + column)
-    return out
+    ids = np.asarray(rows.column("doc_id").to_pylist(), dtype=np.int64)
+    is_positive = np.asarray(rows.column("positive").to_pylist(), dtype=bool)
+    # One order, whatever the order of arrival; a digest, so that halves of the sample are alike.
+    by = np.lexsort((ids, mix(ids.view(np.uint64))))
+    x, ids, is_positive = x[by], ids[by], is_positive[by]
+    seen = np.unique(np.concatenate((ids[is_positive][::2], ids[~is_positive][::2])))
+
+    def count(first: Model, cuts: np.ndarray) -> np.ndarray:
+        known = spark.createDataFrame([(int(i),) for i in seen], "doc_id bigint")
+        return _count_bins(learnable.join(F.broadcast(known), "doc_id", "left_anti"), first, cuts)
+
+    return fit(x[is_positive], x[~is_positive], count=count)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
