@@ -5,7 +5,7 @@ from conftest import body
 from texlode.operators import dictionary as D
 from texlode.operators import extract as X
 from texlode.operators import profile as R
-from texlode.plans.physical import dense_ids, lookup
+from texlode.plans.physical import dense_ids, lookup, narrowed
 
 TEXTS = (
     body("\\begin{equation} b = 1 \\nonumber\\end{equation} $$a$$ and $p$ or $q$ x"),
@@ -133,3 +133,25 @@ def test_listed_equations_ignore_case(docs_of, spark):
     eqs = D.equation_dictionary(X.classified_equations(docs_of(*TEXTS)))
     allowed = spark.createDataFrame([("eqds1q",), ("EQDS3Q",), ("eqds3q",)], "eqid string")
     assert table(R.listed_equations(eqs, allowed), "eqid") == [("EQDS1Q",), ("EQDS3Q",)]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 24])
+def test_filter_by_key_loses_no_row(spark, bits):
+    facts = spark.range(20_000).select(
+        F.concat(F.lit("k"), "id").alias("name"), (F.col("id") % 7).cast("int").alias("no"), F.lit("x").alias("_bits")
+    ).withColumn("no", F.when(F.col("no") > 0, F.col("no")))
+    wanted = facts.filter("name like 'k1_' or name = 'k777'").select("name", "no")
+    found = narrowed(facts, wanted, ["name", "no"], bits)
+    assert found.columns == facts.columns and found.exceptAll(facts).isEmpty()
+    assert wanted.exceptAll(found.select("name", "no")).isEmpty()
+    # Eleven keys: at most eleven bits of the map are set.
+    assert found.count() < 20_000 * 11 / bits * 1.5 + 12
+    assert narrowed(facts, wanted.limit(0), ["name", "no"], bits).isEmpty()
+
+
+def test_filter_by_key_stands_below_the_exchange(spark):
+    facts = spark.range(1000).withColumn("text", F.lit("long"))
+    wanted = spark.range(3)
+    joined = narrowed(facts, wanted, ["id"]).join(wanted.hint("shuffle_merge"), "id", "left_semi")
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")

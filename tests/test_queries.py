@@ -22,6 +22,7 @@ CHOSEN = (
     "resume_inline_ids", "resume_meq_ids", "stream_environments", "stream_inline_ids", "stream_meq_ids",
     "scan_folder", "scan_submissions", "read_eq_json_files", "rejects_table",
     "inline_segments", "write_inline_tsv", "write_texts", "write_categories", "quarantine_submissions",
+    "quarantine_docs",
 )
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from texlode.functions import cleaning, formats
 from texlode.functions import patterns as P
 from texlode.operators.extract import DOCUMENT_KEY, with_body
-from texlode.plans.physical import compute_once, explode_rows
+from texlode.plans.physical import compute_once, explode_rows, materialize, narrowed
 
 
 def packages(docs: DataFrame) -> DataFrame:
@@ -81,8 +81,9 @@ def reject_summary(rejects: DataFrame) -> DataFrame:
 
 
 def quarantined(docs: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Documents named by a reject row, each once."""
-    return docs.join(rejects.select("file"), "file", "left_semi")
+    """Documents named by a reject row, each once; only their texts travel."""
+    names = materialize(rejects.select("file").distinct())
+    return narrowed(docs, names, ["file"]).join(names, "file", "left_semi")
 
 
 def pending(docs: DataFrame, finished: DataFrame) -> DataFrame:

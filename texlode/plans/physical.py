@@ -1,4 +1,4 @@
-"""Physical-plan helpers: explode without recomputation, durable cuts, dense ids, hot keys."""
+"""Physical-plan helpers: explode without recomputation, durable cuts, dense ids, filters by key, hot keys."""
 
 from __future__ import annotations
 
@@ -172,6 +172,27 @@ def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
     )
 
 
+# Bits of the filter of ``narrowed``: at most 2**18 words of 64, some 8 MB when broadcast.
+FILTER_BITS = 1 << 24
+
+
+def narrowed(facts: DataFrame, wanted: DataFrame, key: list[str], bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``facts`` whose key may stand in ``wanted``, found without a shuffle of ``facts``.
+
+    For few keys among many wide rows: a join that follows settles which rows
+    match, but only these rows, and a few by chance, travel to it.  The hashes of
+    the wanted keys set bits of a map whose size does not depend on the data, so
+    it can be broadcast; with more keys than bits it lets most rows pass, and
+    loses none.
+    """
+    position = F.pmod(F.xxhash64(*key), F.lit(bits))
+    word, bit = F.shiftright(position, 6), position.bitwiseAND(F.lit(63)).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
+    marked = facts.select(F.struct("*").alias("row"), word.alias("word"), bit.alias("bit"))
+    return marked.join(F.broadcast(words), "word").filter(F.getbit("bits", F.col("bit")) == 1).select("row.*")
+
+
 def hot_limit(spark: SparkSession) -> int:
     """Most hot keys there can be: a few per shuffle partition, so that a colder key never fills one."""
     return max(MAX_HOT_KEYS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
