@@ -133,11 +133,12 @@ def inline_segments(docs: DataFrame) -> DataFrame:
 
     Inline math that spans lines is no equation and falls out.
     """
-    cut = with_clean_body(docs).select(
-        *DOCUMENT_KEY,
+    # Found once per text: within the fold over its parts, the runs would be sought for each of them.
+    found = F.struct(
         F.split("clean", P.INLINE_RUN, -1).alias("parts"),
         F.transform(find_all(F.col("clean"), P.INLINE_RUN, 1), lambda run: find_all(run, P.INLINE_ONE)).alias("runs"),
     )
+    cut = compute_once(with_clean_body(docs).select(*DOCUMENT_KEY, "clean"), "cut", found).select(*DOCUMENT_KEY, "cut.*")
 
     def segment(kind: str, text: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), cleaning.unpark_dollars(text).alias("text"))
