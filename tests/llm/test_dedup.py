@@ -245,3 +245,26 @@ def test_sketches_lose_less_than_one_in_a_million():
 @pytest.mark.parametrize("name", ["op1_suffix_array_dedup", "op2_substring_dedup", "op7_exact_dedup", "op8_minhash_near_dedup"])
 def test_empty_table(spark, empty_folder, name):
     assert QUERIES[name](spark, empty_folder).collect() == []
+
+
+def test_whole_sets_are_compared_without_copies_of_the_batch():
+    """A batch of wide sets costs no second copy in the worker, and keeps the pairs at the limit."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from texlode.llm.near_dedup import _exact
+
+    wide = np.arange(4000, dtype=np.uint64)
+    sets = [wide.tobytes(), wide[:3200].tobytes(), wide[:3199].tobytes()] * 100
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(300)), pa.array(range(300)), pa.array([wide.tobytes()] * 300, pa.binary()), pa.array(sets, pa.binary())],
+        names=["a", "b", "xa", "xb"],
+    )
+    tracemalloc.start()
+    kept = [x for out in _exact(80)(iter([batch])) for x in out.column("a").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kept == [i for i in range(300) if i % 3 < 2]
+    assert peak < 2_000_000

@@ -296,3 +296,11 @@ def test_prior_of_mixture():
 )
 def test_empty_table(spark, empty_folder, name):
     assert QUERIES[name](spark, empty_folder).collect() == []
+
+
+def test_chunks_hold_a_megabyte_at_most():
+    """What a worker holds at once is a multiple of a chunk; a longer text is a chunk of its own."""
+    texts = [b"x" * 300_000] * 10 + [b"y" * 3_000_000] + [b"z"] * 3
+    chunks = list(batches.text_chunks(texts))
+    assert [i for i, _ in chunks] == [0, *[j for _, j in chunks[:-1]]] and chunks[-1][1] == len(texts)
+    assert all(j - i == 1 or sum(map(len, texts[i:j])) <= 1 << 20 for i, j in chunks)

@@ -220,8 +220,9 @@ def _exact(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(column_bytes(batch.column("xa")), column_bytes(batch.column("xb")), strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+            # Read where they lie: copies of all sets would hold the batch once more.
+            for x, y in zip(batch.column("xa"), batch.column("xb"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             keep = pa.array(keep, pa.bool_())
