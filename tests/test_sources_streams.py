@@ -202,3 +202,30 @@ def test_files_are_written_whole_and_again(spark, tmp_path):
     assert table(readers.read_submissions(spark, f"{tmp_path}/out"), "folder", "rel_path", "text") == [
         ("a", "b/y.TEX", "\u00e9"), ("a", "x.tex", "one\ntwo"),
     ]
+
+
+def test_batches_of_a_stream_do_not_multiply_with_its_files(spark, docs_of, tmp_path):
+    docs_of(*STREAM).repartition(3).write.parquet(f"{tmp_path}/few")
+    assert I.batch_files(spark, f"{tmp_path}/few") == 4
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, 24 * cores, 1, 24 * cores).selectExpr(
+        "'d' AS dir", "concat('d/', id, '.tex') AS file", "string(id) AS doc_name", "'' AS text"
+    ).write.parquet(f"{tmp_path}/many")
+    size = I.batch_files(spark, f"{tmp_path}/many")
+    assert size == max(4, 6 * cores)
+    seen = []
+    I._each_batch(
+        I.stream_documents(spark, f"{tmp_path}/many", size), lambda rows, batch: seen.append(rows.count()), f"{tmp_path}/cp"
+    ).awaitTermination()
+    assert len(seen) == 24 * cores // size and sum(seen) == 24 * cores
+    assert I.batch_files(spark, f"{tmp_path}/many", batches=1) == 16 * cores
+
+
+def test_a_batch_leaves_no_tables_of_its_own(spark, docs_of, tmp_path):
+    from texlode.plans import physical
+
+    before = len(physical._written)
+    docs = docs_of(*INLINE_STREAM)
+    I.append_batch(docs, 0, f"{tmp_path}/single")
+    I.append_inline_batch(docs, 0, f"{tmp_path}/inline")
+    assert len(physical._written) == before

@@ -148,7 +148,11 @@ def _numbered_after(distinct: DataFrame, prior: DataFrame, key: str, order: list
 
 def new_equations(classified: DataFrame, prior: DataFrame, start: int | None = None) -> DataFrame:
     """Rows ``(eqid, eq_key, eq_text, eq_number)`` that an earlier dictionary of single equations lacks."""
-    distinct = distinct_pieces(keyed_pieces(classified))
+    return added_equations(distinct_pieces(keyed_pieces(classified)), prior, start)
+
+
+def added_equations(distinct: DataFrame, prior: DataFrame, start: int | None = None) -> DataFrame:
+    """The same from the rows of ``distinct_pieces``."""
     added = _numbered_after(distinct, prior, "eq_key", ["file", "eq_no", "sub_no", "eq_key"], start)
     return added.select(
         _eqid(SINGLE_PREFIX, "eq_number").alias("eqid"), "eq_key", _stored(added).alias("eq_text"), "eq_number"
@@ -168,7 +172,12 @@ def new_multiline(
 
     ``eq_dict`` has all single equations, those of the new lines, too.
     """
-    added = _numbered_after(distinct_multiline(classified), prior, "eq_text", ["file", "eq_no"], start)
+    return added_multiline(distinct_multiline(classified), eq_dict, prior, start)
+
+
+def added_multiline(distinct: DataFrame, eq_dict: DataFrame, prior: DataFrame, start: int | None = None) -> DataFrame:
+    """The same from the rows of ``distinct_multiline``."""
+    added = _numbered_after(distinct, prior, "eq_text", ["file", "eq_no"], start)
     return _with_line_ids(added, eq_dict, None).select(
         _eqid(MULTI_PREFIX, "eq_number").alias("eqid"), "sub_ids", "eq_text", "eq_number"
     )

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from texlode.functions import equations, formats
 from texlode.operators import dictionary as D
 from texlode.operators.extract import classified_equations, inline_equations
-from texlode.plans.physical import explode_rows, materialize, path_exists
+from texlode.plans.physical import explode_rows, materialize, path_exists, release
 
 DOCUMENT_SCHEMA = "dir string, file string, doc_name string, text string"
 # Parts of a dictionary table by the hash of the key; a batch reads those its own keys fall in.
@@ -35,6 +35,20 @@ def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 1000
     )
 
 
+# What fills the cores of a cluster well; a larger batch would not spread any better.
+FILES_PER_CORE = 16
+
+
+def batch_files(spark: SparkSession, path: str, least: int = 4, batches: int = 4) -> int:
+    """Files per batch, so that what a batch costs besides its rows is paid few times.
+
+    Some ``batches`` make up a folder, of ``least`` files each at least, until
+    one holds ``FILES_PER_CORE`` for each core of the cluster.
+    """
+    files = len(spark.read.schema(DOCUMENT_SCHEMA).parquet(path).inputFiles())
+    return max(least, min(-(-files // batches), FILES_PER_CORE * spark.sparkContext.defaultParallelism))
+
+
 def _bucket(key: str):
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
@@ -67,8 +81,10 @@ def _next_number(table: DataFrame) -> int:
 def _write_batch(rows: DataFrame, key: str, batch: int, path: str) -> None:
     """Rows of a batch stand in folders of its number, which a repeated batch overwrites with the same rows."""
     placed = rows.withColumn("bucket", _bucket(key)).withColumn("batch", F.lit(batch).cast("bigint"))
+    # A number of its own keeps the tasks apart, each of which writes a file per bucket.
+    tasks = min(BUCKETS, rows.sparkSession.sparkContext.defaultParallelism)
     (
-        placed.repartition("bucket")
+        placed.repartition(tasks, "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket", "batch")
@@ -81,13 +97,17 @@ def append_batch(docs: DataFrame, batch: int, path: str) -> None:
 
     A replay finds the table as it was before the batch, so it changes nothing.
     """
-    _append_single(materialize(classified_equations(docs)), batch, path)
+    classified = materialize(classified_equations(docs))
+    _append_single(classified, batch, path)
+    release(classified)
 
 
 def _append_single(classified: DataFrame, batch: int, path: str) -> None:
+    distinct = materialize(D.distinct_pieces(D.keyed_pieces(classified)))
     prior = read_dictionary(classified.sparkSession, path, before=batch)
-    known = touched_buckets(prior, D.keyed_pieces(classified), "eq_key")
-    _write_batch(D.new_equations(classified, known, _next_number(prior)), "eq_key", batch, path)
+    known = touched_buckets(prior, distinct, "eq_key")
+    _write_batch(D.added_equations(distinct, known, _next_number(prior)), "eq_key", batch, path)
+    release(distinct)
 
 
 def append_inline_batch(docs: DataFrame, batch: int, path: str) -> None:
@@ -96,6 +116,7 @@ def append_inline_batch(docs: DataFrame, batch: int, path: str) -> None:
     prior = read_dictionary(docs.sparkSession, path, batch, INLINE_SCHEMA)
     known = touched_buckets(prior, inline, "text")
     _write_batch(D.new_inline(inline, known, _next_number(prior)), "eq_text", batch, path)
+    release(inline)
 
 
 def append_multiline_batch(docs: DataFrame, batch: int, path: str, single: str) -> None:
@@ -103,15 +124,16 @@ def append_multiline_batch(docs: DataFrame, batch: int, path: str, single: str)
     spark = docs.sparkSession
     classified = materialize(classified_equations(docs))
     _append_single(classified, batch, single)
-    multiline = classified.filter("is_multiline")
+    multiline = materialize(D.distinct_multiline(classified))
     prior = read_dictionary(spark, path, batch, MULTILINE_SCHEMA)
-    known = touched_buckets(prior, multiline, "text")
+    known = touched_buckets(prior, multiline, "eq_text")
     lines = explode_rows(
         multiline.select(equations.sub_equations("flat_eq").alias("lines")), "lines", "sub_no", "eq_key", []
     )
     eqs = touched_buckets(read_dictionary(spark, single, before=batch + 1), lines, "eq_key")
-    rows = D.new_multiline(multiline, eqs.select("eq_key", "eqid"), known, _next_number(prior))
+    rows = D.added_multiline(multiline, eqs.select("eq_key", "eqid"), known, _next_number(prior))
     _write_batch(rows, "eq_text", batch, path)
+    release(classified, multiline)
 
 
 def compact_dictionary(spark: SparkSession, path: str, target: str, schema: str = DICTIONARY_SCHEMA) -> None:
