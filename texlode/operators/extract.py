@@ -123,7 +123,7 @@ def equation_context(docs: DataFrame) -> DataFrame:
 
 def inline_array(clean: Column | str = "clean") -> Column:
     """Inline equations of a cleaned body; one that spans lines is left out."""
-    runs = find_all(F.col(clean) if isinstance(clean, str) else clean, P.INLINE_RUN, 1)
+    runs = cleaning.inline_runs(clean)
     single = F.flatten(F.transform(runs, lambda run: find_all(run, P.INLINE_ONE)))
     return F.transform(single, cleaning.unpark_dollars)
 
