@@ -4,9 +4,11 @@ import random
 import re
 import time
 
+from conftest import body
 from pyspark.sql import functions as F
 from texlode.functions import cleaning
 from texlode.functions import patterns as P
+from texlode.operators import pairing
 
 
 def _texts(tokens, n=1500, most=14, seed=3):
@@ -63,3 +65,35 @@ def test_many_runs_are_not_sought_through_the_text_each(spark):
     out = _values(spark, [text], cleaning.separate_inline)[0]
     assert time.perf_counter() - start < 10
     assert out == text.replace("$$", "$ $")
+
+
+def _first_places(spark, rows):
+    frame = spark.createDataFrame([(n, t, e) for n, (t, e) in enumerate(rows)], "n int, body string, eqs array<string>")
+    out = frame.select("n", pairing.first_places("body", "eqs").alias("out")).orderBy("n")
+    return [r["out"] for r in out.collect()]
+
+
+def test_equations_stand_where_a_search_finds_them(spark):
+    tokens = [
+        "\\begin{equation}", "\\end{equation}", "\\begin{align*}x\\end{align*}", "\\[", "\\]", "\\\\[2pt]", "$$", "$", "a", "é ",
+        "$$ a $$", "\\[ a \\]", "\\begin{math}a\\end{math}", "\\\\[ a \\]", "\\begin{x}",
+    ]
+    texts = _texts(tokens, most=16)
+    # Equations of the text and of others, so that some stand within others and some nowhere.
+    found = [[m.group() for m in re.finditer(P.DISPLAY_MATH, t)] for t in texts]
+    rows = [(t, one + other) for t, one, other in zip(texts, found, found[1:] + found[:1])]
+    assert _first_places(spark, rows) == [[t.find(e) for e in eqs] for t, eqs in rows]
+
+
+def test_equations_are_not_sought_through_the_body_each(spark, docs_of):
+    prose = "some words of prose " * 60
+    parts = [f"{prose}\\[ x_{{{n}}} \\] and \\begin{{math}}y_{{{n}}}\\end{{math}} or $$ z_{n} $$ " for n in range(2_000)]
+    text = body("".join(parts))
+    eqs = re.findall(r"\\\[.*?\\\]|\\begin\{math\}.*?\\end\{math\}|\$\$.*?\$\$", text)
+    start = time.perf_counter()
+    got = _first_places(spark, [(text, eqs)])[0]
+    assert time.perf_counter() - start < 15
+    assert got == [m.start() for m in re.finditer(r"\\\[|\\begin\{math\}|\$\$ z", text)]
+    # Bodies do not travel to the join.
+    xhtml = spark.createDataFrame([("d", "000", "<table><math>x</math></table>")], "dir string, doc_name string, xhtml string")
+    assert "body" not in pairing.paired_documents(docs_of(body("a \\[ b \\]")), xhtml).columns

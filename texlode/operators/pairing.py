@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from texlode.functions import equations, formats
 from texlode.functions import patterns as P
-from texlode.functions.columns import find_all
+from texlode.functions.columns import col, find_all, let
 from texlode.operators.extract import DOCUMENT_KEY, display_array, text_array, with_clean_body
 from texlode.plans.physical import compute_once, durable, explode_rows, lookup
 
@@ -51,18 +51,63 @@ def matched_xhtml(docs: DataFrame, xhtml: DataFrame) -> DataFrame:
     return docs.select(*names).join(xhtml.select(*names), names, "left_semi")
 
 
+def first_places(body: Column | str, equations: Column | str) -> Column:
+    """Where each display equation first stands in a text, as a string, from 0; -1 for nowhere.
+
+    The text is cut once before each place where display math may open.  One that
+    holds no second opening stands where a piece begins with it, so pieces are
+    compared in place of a search through the text for each equation.  Math in
+    dollars is a piece, and the next begins with dollars.  All others are sought.
+    """
+
+    def place(eq: Column, t: Column, pieces: Column, cut: Column) -> Column:
+        sought = (F.instr(t, eq) - 1).cast("int")
+
+        def at(found: Column) -> Column:
+            return F.when(found == 0, -1).otherwise(F.get(cut["starts"], (found - 1).cast("int")))
+
+        in_dollars = let(
+            F.array_position(pieces, F.substring(eq, F.lit(1), F.length(eq) - 2)),
+            lambda found: F.when(F.startswith(F.get(pieces, found.cast("int")), F.lit("$$")), at(found)).otherwise(sought),
+        )
+        return let(
+            F.size(F.split(eq, P.DISPLAY_OPENS, -1)),
+            lambda cuts: F.when(F.startswith(eq, F.lit("$$")), F.when((cuts == 2) & cut["apart"], in_dollars).otherwise(sought))
+            .when(cuts == 1, at(F.array_position(cut["opened"], eq)))
+            .otherwise(sought),
+        )
+
+    def places(t: Column, pieces: Column) -> Column:
+        opened = F.transform(pieces, lambda piece: F.regexp_extract(piece, r"\A" + P.DISPLAY_MATH, 0))
+        starts = F.aggregate(
+            pieces,
+            F.array(F.lit(0)),
+            lambda sums, piece: F.concat(sums, F.array(F.element_at(sums, -1) + F.length(piece))),
+        )
+        return let(
+            F.struct(
+                opened.alias("opened"), starts.alias("starts"), (~F.contains(t, F.lit("$$$"))).alias("apart")
+            ),
+            lambda cut: F.transform(equations, lambda eq: place(eq, t, pieces, cut)),
+        )
+
+    return let(col(body), lambda t: let(F.split(t, P.DISPLAY_OPENS, -1), lambda pieces: places(t, pieces)))
+
+
 def paired_documents(docs: DataFrame, xhtml: DataFrame) -> DataFrame:
     """One row per document with math: its arrays, its MathML, and what stops it, if anything.
 
-    Both sides shrink to what the pairing needs before the join.
+    Both sides shrink to what the pairing needs before the join: of the body, the
+    places of its equations.
     """
     tex = compute_once(
         with_clean_body(docs),
         "tex",
         F.struct(display_array().alias("eqs"), text_array().alias("parts")),
     ).select(*DOCUMENT_KEY, "body", "tex.*")
+    tex = tex.filter(F.size("eqs") > 0).select(*DOCUMENT_KEY, "eqs", "parts", first_places("body", "eqs").alias("places"))
     converted = xhtml.select("dir", "doc_name", xhtml_tables("xhtml").alias("mathml"))
-    joined = tex.filter(F.size("eqs") > 0).join(converted, ["dir", "doc_name"], "left")
+    joined = tex.join(converted, ["dir", "doc_name"], "left")
     reason = (
         F.when(F.col("mathml").isNull(), MESSAGE_NO_XHTML)
         .when(F.size("eqs") != F.size("mathml"), MESSAGE_COUNTS)
@@ -83,7 +128,7 @@ def _objects():
             F.get("parts", first).alias("nexttext"),
             F.col("file").alias("file"),
             (first * 2 - 1).alias("index"),
-            (F.instr("body", eq) - 1).cast("int").alias("pos"),
+            F.get("places", n).alias("pos"),
             F.get("mathml", n).alias("mathml"),
         )
 
