@@ -31,6 +31,41 @@ def test_tex_scans(spark, tmp_path):
     assert table(both, "dir", "doc_name") == [("one", "a"), ("two", "c.v1")]
 
 
+def test_names_of_files_stay_out_of_the_driver(spark, tmp_path):
+    for n in range(60):
+        put(tmp_path / f"src/{n % 3}/{n}.tex", f"text {n}")
+    rows = readers.read_tex_parent(spark, f"{tmp_path}/src")
+    assert rows.count() == 60
+    # What the plan reads is known to the driver: tables of names, not the files.
+    assert rows.inputFiles() and not [name for name in rows.inputFiles() if name.endswith(".tex")]
+    few, many = spark.sparkContext.defaultParallelism, readers.read_submissions(spark, f"{tmp_path}/src")
+    assert many.count() == 60 and many.rdd.getNumPartitions() == few
+    assert not [name for name in many.inputFiles() if name.endswith(".tex")]
+
+
+def test_files_are_found_as_by_spark(spark, tmp_path):
+    for name in (
+        "r.tex", "_r.tex", ".r.tex", "one/a.tex", "one/_a.tex", "one/b b \xe9%20#.tex", "one/{a,b}.tex", "one/c.txt",
+        "one/z.tex.gz", "one/d.tex._COPYING_", "_two/a.tex", "_two/deep/x.TEX", ".git/a.tex", "three/deep/er/y.TeX",
+        "three/_h/y.tex", "sp ace/m.tex",
+    ):
+        put(tmp_path / "src" / name, f"text of {name}")
+    put(tmp_path / "src/one/empty.tex", "")
+    (tmp_path / "src/nothing").mkdir()
+    root = f"{tmp_path}/src"
+    for path, glob, recursive in (
+        (root, None, True), (root, "*.[tT][eE][xX]", True), (f"{root}/", "{a,r}.tex", True), (f"{root}/one", None, False),
+        ([f"{root}/one", f"{root}/sp ace"], "*.tex", False), (f"{root}/one/a.tex", "*.tex", False),
+        (f"{root}/o*", "*.tex", False), (f"{root}/nothing", None, True),
+    ):
+        found = readers.read_files(spark, path, glob, None if recursive else 0)
+        assert table(found, "path", "content") == table(readers._files_by_spark(spark, path, glob, recursive), "path", "content")
+    below = readers.parse_tex(readers._files_by_spark(spark, f"{root}/[!.]*", "*.tex", False))
+    assert table(readers.read_tex_parent(spark, root), "file", "text") == table(below, "file", "text")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./in", f"file://{root}")
+    assert table(readers.read_tex_parent(spark, "viewfs://store/in"), "doc_name", "text") == table(below, "doc_name", "text")
+
+
 def test_submission_scan(spark, tmp_path):
     put(tmp_path / "papers/p1/main.tex", "m")
     put(tmp_path / "papers/p1/sub/x.tex", "x")

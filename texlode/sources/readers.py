@@ -15,6 +15,7 @@ from texlode.functions import cleaning, formats
 from texlode.functions import patterns as P
 from texlode.operators.pairing import EQUATION_SCHEMA
 from texlode.plans.physical import explode_rows
+from texlode.sources.files import read_files
 
 # Fixed value: the ending of a folder of converted documents.
 CONVERTED_SUFFIX = "_converted"
@@ -24,6 +25,12 @@ SQL_PAIR = r"(?U)(\w+)\s###([^#]+)###"
 
 
 def _files(spark: SparkSession, path: str | list[str], glob: str | None, recursive: bool) -> DataFrame:
+    files = read_files(spark, path, glob, None if recursive else 0)
+    return _files_by_spark(spark, path, glob, recursive) if files is None else files
+
+
+def _files_by_spark(spark: SparkSession, path: str | list[str], glob: str | None, recursive: bool) -> DataFrame:
+    """The same for stores that only Spark opens; the driver holds the names of all files."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -47,7 +54,10 @@ def read_tex(spark: SparkSession, path: str | list[str], glob: str | None = "*.t
 
 def read_tex_parent(spark: SparkSession, path: str, glob: str | None = "*.tex") -> DataFrame:
     """Documents of all folders below ``path``; folders that start with a dot are skipped."""
-    return parse_tex(_files(spark, f"{path.rstrip('/')}/[!.]*", glob, recursive=False))
+    files = read_files(spark, path, glob, depth=1, hidden=r"^\.")
+    if files is None:
+        files = _files_by_spark(spark, f"{path.rstrip('/')}/[!.]*", glob, recursive=False)
+    return parse_tex(files)
 
 
 def parse_submissions(files: DataFrame, root: str) -> DataFrame:
