@@ -121,6 +121,25 @@ def test_equation_json(spark, tmp_path):
     assert readers.read_equation_json(spark, f"{tmp_path}/json").filter("pos = 7").count() == 3
 
 
+def test_equation_json_is_found_in_tasks_and_parsed_as_by_spark(spark, tmp_path):
+    item = {"text": "$$x$$é", "type": "latex", "itemtype": "equation", "prevtext": "a\n", "nexttext": "",
+            "file": "p.tex", "index": 1, "pos": 7, "mathml": "<math/>"}
+    texts = [
+        json.dumps([item, item]), json.dumps(item), "[]", "  \n", "{broken", json.dumps([item]) + " more",
+        json.dumps([item, None]), "null", json.dumps([item | {"pos": "x"}]), b"\xef\xbb\xbf" + json.dumps([item]).encode(),
+        b'[{"text":"\xff"}]', json.dumps([item], indent=2, ensure_ascii=False), '[{"text":"a"},{"text":', "5", "{}",
+        json.dumps([{"text": 5, "index": 1.5, "pos": 2**40}]), "[[1]]", json.dumps(item) + "\n" + json.dumps(item), '"x"',
+    ]
+    for n, text in enumerate(texts):
+        put(tmp_path / f"json/{n}/{n}.json", text)
+        reader = spark.read.schema(readers.EQUATION_SCHEMA).option("multiLine", "true").option("recursiveFileLookup", "true")
+        want, got = reader.json(f"{tmp_path}/json/{n}"), readers.read_equation_json(spark, f"{tmp_path}/json/{n}")
+        assert got.schema == want.schema
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), text
+    whole = readers.read_equation_json(spark, f"{tmp_path}/json")
+    assert whole.inputFiles() and not [name for name in whole.inputFiles() if name.endswith(".json")]
+
+
 def test_writers(spark, docs_of, tmp_path):
     docs = docs_of("one", "two")
     writers.write_texts(docs, f"{tmp_path}/texts")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from texlode.functions import cleaning, formats
 from texlode.functions import patterns as P
+from texlode.functions.columns import let
 from texlode.operators.pairing import EQUATION_SCHEMA
 from texlode.plans.physical import explode_rows
 from texlode.sources.files import read_files
@@ -117,14 +118,20 @@ def _ddl() -> str:
 
 
 def read_equation_json(spark: SparkSession, path: str) -> DataFrame:
-    """Equation objects of all JSON files below ``path``, one array per file."""
-    return (
-        spark.read.schema(EQUATION_SCHEMA)
-        .option("multiLine", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .json(path)
+    """Equation objects of all JSON files below ``path``, one array per file; a file that is no JSON is a row of nulls."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    documents = _files(spark, path, "*.json", recursive=True).select(
+        F.regexp_replace(text, "^\ufeff", "").alias("json")
+    )
+    kind = f"array<struct<{_ddl()}>>"
+    broken = F.from_json(F.lit("[null]"), kind)
+    blank = F.coalesce(F.rlike("json", F.lit(r"\A[ \t\r\n]*\z")), F.lit(False))
+    # Blank files have no rows; an array with a null in it is broken as a whole.
+    items = let(
+        F.from_json("json", kind),
+        lambda found: F.when(F.exists(found, F.isnull), broken).otherwise(F.coalesce(found, F.when(~blank, broken))),
     )
+    return explode_rows(documents.select(items.alias("items")), "items", "eq_no", "item", []).select("item.*")
 
 
 def parse_category_lines(lines: DataFrame) -> DataFrame:
